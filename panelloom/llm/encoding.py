@@ -102,8 +102,18 @@ def undo_utf8(word: str, read: str) -> str | None:
 
 
 def misread_utf8(word: str) -> bool:
-    """Whether a word holds UTF-8 sequences that were read in some other encoding: hardly ever by chance."""
-    return any(undo_utf8(word, r) for r, w in STEPS if w == "utf-8")
+    """Whether all of a word beyond ASCII is UTF-8 that was read in some other encoding: hardly ever so by chance."""
+    for r, w in STEPS:
+        if w != "utf-8":
+            continue
+        if r in WIDE:
+            if undo_utf8(word, r) is not None:
+                return True
+        else:
+            rest = _UTF8.sub("", word.translate(_as_bytes(r)))
+            if rest.isascii() and not word.isascii():
+                return True
+    return False
 
 
 def undo(word: str, read: str, written: str) -> str | None:
