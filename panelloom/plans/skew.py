@@ -37,3 +37,10 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "l
     cold = marked.where("_hot is null").drop("_hot").join(right, keys, how)
     warm = marked.where("_hot").drop("_hot").join(F.broadcast(right.join(hot.drop("_hot"), keys, "left_semi")), keys, how)
     return cold.unionByName(warm)
+
+
+def checked_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", *, most: int = 20_000) -> DataFrame:
+    """lookup, but right is broadcast if a count proves that it has at most `most` rows, so that left isn't shuffled."""
+    if right.select(*keys).limit(most + 1).count() <= most:
+        return left.join(F.broadcast(right), list(keys), how)
+    return lookup(left, right, keys, how)
