@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import UNICODE_SPACE, strip
-from panelloom.plans.skew import lookup
+from panelloom.plans.parallel import spread
+from panelloom.plans.skew import checked_lookup
 
 # Language codes with their three-letter codes and names, as public standards give them.
 LANGUAGES = """
@@ -190,16 +191,17 @@ def evidence(documents: DataFrame) -> tuple[DataFrame, list[str]]:
     """(doc_id, text, code, own, hosts) of each document, and the known languages.
 
     own and hosts map language codes to the labelled documents of its source and of its links' address suffix. Sources may
-    be many and one may hold a third of all documents: they are joined by lookup.
+    be many and one may hold a third of all documents: few enough to be broadcast by count, or joined by lookup.
     """
     total = {r["code"]: r["n"] for r in label_counts(documents, []).collect()}  # bounded by the codes
     langs = sorted(x for x, n in total.items() if n >= LEAST_DOCUMENTS)
-    docs = documents.select("doc_id", "text", "lang", F.coalesce("source", F.lit("")).alias("source"), suffix(F.col("text")).alias("suffix"))
-    held = docs.select("lang", "source", "suffix")
+    docs = spread(documents.select("doc_id", "text", "lang", "source")).select("doc_id", "text", "lang", F.coalesce("source", F.lit("")).alias("source"), suffix(F.col("text")).alias("suffix"))
+    # The counts read the table itself: they need no spreading, and no text but for the links' suffixes.
+    held = documents.select("lang", F.coalesce("source", F.lit("")).alias("source"), suffix(F.col("text")).alias("suffix"))
     as_map = lambda df, key, name: df.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("code", "n"))).alias(name))
     sources = as_map(label_counts(held, ["source"]), "source", "own")
     hosts = as_map(label_counts(held.where("suffix <> ''"), ["suffix"]), "suffix", "hosts")
-    joined = lookup(lookup(docs, sources, ["source"]), hosts, ["suffix"])
+    joined = checked_lookup(checked_lookup(docs, sources, ["source"]), hosts, ["suffix"])
     return joined.select("doc_id", "text", language_code("lang").alias("code"), "own", "hosts"), langs
 
 

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelloom.plans.parallel import spread
+
 #: Where the public vocabularies lie; a parameter of every query that uses one.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -130,7 +132,7 @@ def encode(documents: DataFrame, *, key: str = "doc_id", text: str = "text", tok
             yield pd.DataFrame({"_key": pdf["_key"], "ids": [np.asarray(encoder.ids(t), dtype=np.int32) for t in pdf["_text"]]})
 
     kind = documents.schema[key].dataType.simpleString()
-    named = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    named = spread(documents.select(key, text)).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     return named.mapInPandas(run, f"_key {kind}, ids array<int>").withColumnRenamed("_key", key)
 
 
@@ -143,7 +145,7 @@ def token_counts(documents: DataFrame, *, keep: tuple[str, ...] = (), key: str =
         for pdf in batches:
             yield pdf.drop(columns="_text").assign(tokens=[len(encoder.ids(t)) for t in pdf["_text"]])
 
-    df = documents.select(key, *keep, F.col(text).alias("_text"))
+    df = spread(documents.select(key, *keep, F.col(text).alias("_text")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "_text")
     return df.mapInPandas(run, schema + ", tokens bigint")
 
