@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelloom.plans.parallel import spread, tasks
 from panelloom.session import shared_checkpoints
 
 # Single-byte encodings by which text is misread, or in which it was written (Python's codec names).
@@ -39,6 +40,7 @@ RARE = 1 / 2000
 WORD = 400
 
 _BLANKS = re.compile(r"([ \t\r\n]+)")
+_ODD_CASE = re.compile("(?<=[a-zß-öø-ÿа-яё])[A-ZÀ-ÖØ-ÞА-ЯЁ]")
 _LOST = re.compile("[�\u0080-\u0084\u0086-\u009f]")
 _UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf4][\x80-\xbf]{3}")
 
@@ -116,20 +118,27 @@ def misread_utf8(word: str) -> bool:
     return False
 
 
-def undo(word: str, read: str, written: str) -> str | None:
-    """A word as written, if it was written in `written` and read in `read`; None if that can't be or changes nothing."""
+@lru_cache(None)
+def _readable(read: str) -> frozenset[str]:
+    """Characters beyond ASCII that reading in a single-byte encoding can give."""
+    return frozenset(map(chr, _table(read)[0]))
+
+
+def undo(word: str, read: str, written: str, odd: set[str] | None = None) -> str | None:
+    """A word as written, if it was written in `written` and read in `read`; None if that can't be or changes nothing.
+
+    odd: the word's characters beyond ASCII, where they are known already.
+    """
     if written == "utf-8":
         return undo_utf8(word, read)
+    if not (_readable(read) >= ({c for c in word if c >= "\x80"} if odd is None else odd)):
+        return None
     if written in WIDE:
         back = _table(read)[0]
         try:
-            out = bytes(ord(c) if c < "\x80" else back[ord(c)] for c in word).decode(written)
-        except (KeyError, UnicodeDecodeError, ValueError):
+            return bytes(ord(c) if c < "\x80" else back[ord(c)] for c in word).decode(written)
+        except (UnicodeDecodeError, ValueError):
             return None
-        return out
-    back = _table(read)[0]
-    if any(c >= "\x80" and ord(c) not in back for c in word):
-        return None
     out = word.translate(_recoded(read, written))
     return None if out == word else out
 
@@ -145,19 +154,37 @@ STEPS: tuple[tuple[str, str], ...] = (
 MOST_STEPS = 3
 
 
-def candidates(word: str, allowed: set[str] | None = None) -> list[tuple[str, str]]:
-    """(chain, word as written) for each chain that could have made the word; allowed: the chains to try, None for all."""
+def openings(allowed: set[str] | None, known: Callable[[str], bool]) -> list[tuple[str, str, str, frozenset[str] | None]]:
+    """(name, read, written, characters) of the one-step chains to try.
+
+    A single-byte step is worth trying on words of such characters only as it turns into ones known in undamaged text.
+    """
+    out = []
+    for r, w in STEPS:
+        name = f"{r}<{w};"
+        if allowed is not None and name not in allowed:
+            continue
+        chars = _readable(r) if r not in WIDE else None
+        if w != "utf-8" and w not in WIDE:
+            chars = frozenset(chr(c) for c, to in _recoded(r, w).items() if known(to))
+        out.append((name, r, w, None if w == "utf-8" else chars))
+    return out
+
+
+def candidates(word: str, steps: list[tuple[str, str, str, frozenset[str] | None]], allowed: set[str] | None = None) -> list[tuple[str, str]]:
+    """(chain, word as written) for each chain that could have made the word; steps: openings, allowed: the chains to try."""
     out: list[tuple[str, str]] = []
     stack = [("", word, 0)]
     while stack:
         chain, now, depth = stack.pop()
-        for r, w in STEPS:
-            name = f"{chain}{r}<{w};"
-            if w != "utf-8" and depth:
+        odd = {c for c in now if c >= "\x80"}
+        for name, r, w, chars in steps:
+            if chars is not None and (depth or not odd <= chars):
                 continue
-            if allowed is not None and name not in allowed:
+            name = chain + name
+            if depth and allowed is not None and name not in allowed:
                 continue
-            got = undo(now, r, w)
+            got = undo(now, r, w, odd)
             if got is None or _LOST.search(got):
                 continue
             out.append((name, got))
@@ -173,6 +200,7 @@ class CharModel:
         self.n, self.total = counts.tolist(), float(counts[0]) + 1.0
         self.words = self.n[self.slots("")[0][0]]
         self.chars: dict[str, float] = {}
+        self.grams: dict[str, float] = {}
 
     def held(self, ch: str) -> float:
         """How often a character occurs."""
@@ -186,32 +214,41 @@ class CharModel:
         return any(ch >= "\x80" and self.held(ch) < least for ch in word)
 
     @staticmethod
-    def slots(word: str) -> list[tuple[int, int, int]]:
-        """Buckets of the unigram, bigram and trigram that end at each character; bucket 0 counts all characters."""
-        a = b = 2
-        out, top = [], BUCKETS - 1
-        for ch in word.lower() + "\x03":
-            c = ord(ch)
-            one = 1 + (c * 2654435761 >> 7) % top
-            two = 1 + ((b * 40503 + c) * 2246822519 >> 9) % top
-            three = 1 + (((a * 65599 + b) * 40503 + c) * 3266489917 >> 11) % top
-            out.append((one, two, three))
-            a, b = b, c
-        return out
+    def slots_of(gram: str) -> tuple[int, int, int]:
+        """Buckets of the unigram, bigram and trigram that end at the last of three characters; bucket 0 counts all."""
+        (a, b, c), top = map(ord, gram), BUCKETS - 1
+        return 1 + (c * 2654435761 >> 7) % top, 1 + ((b * 40503 + c) * 2246822519 >> 9) % top, 1 + (((a * 65599 + b) * 40503 + c) * 3266489917 >> 11) % top
+
+    @classmethod
+    def slots(cls, word: str) -> list[tuple[int, int, int]]:
+        """slots_of each character of a word and its end."""
+        s = f"\x02\x02{word.lower()}\x03"
+        return [cls.slots_of(s[i : i + 3]) for i in range(len(s) - 2)]
+
+    def one(self, gram: str) -> float:
+        """Log-probability of the last of three characters after the first two."""
+        n, (_, b, c) = self.n, map(ord, gram)
+        one, two, three = self.slots_of(gram)
+        start = gram[1] == "\x02"
+        before = self.total if start else n[1 + (b * 2654435761 >> 7) % (BUCKETS - 1)]
+        pair = self.total if start else n[self.slots_of("\x02" + gram[:2])[1]]
+        # One is taken off each count: what only this word attests is no evidence for it.
+        p1 = (max(n[one] - 1.0, 0.0) + 0.05) / (self.total + 5000.0)
+        p2 = (max(n[two] - 1.0, 0.0) + 4.0 * p1) / (before + 3.0)
+        return math.log((max(n[three] - 1.0, 0.0) + 4.0 * p2) / (pair + 3.0))
 
     def logp(self, word: str) -> float:
-        n, total, p = self.n, self.total, 0.0
-        before, pair = self.total, self.total
-        # Letters count in lower case; a capital after a small letter is rare in any script.
-        for x, y in zip(word, word[1:], strict=False):
-            if y >= "A" and y.isupper() and x.islower():
-                p += ODD_CASE
-        for one, two, three in self.slots(word):
-            # One is taken off each count: what only this word attests is no evidence for it.
-            p1 = (max(n[one] - 1.0, 0.0) + 0.05) / (total + 5000.0)
-            p2 = (max(n[two] - 1.0, 0.0) + 4.0 * p1) / (before + 3.0)
-            p += math.log((max(n[three] - 1.0, 0.0) + 4.0 * p2) / (pair + 3.0))
-            before, pair = n[one], n[two]
+        """Log-probability of a word. Letters count in lower case; a capital after a small letter is rare in any script."""
+        p = ODD_CASE * len(_ODD_CASE.findall(word)) if not word.islower() else 0.0
+        s, grams = f"\x02\x02{word.lower()}\x03", self.grams
+        for i in range(len(s) - 2):
+            g = s[i : i + 3]
+            v = grams.get(g)
+            if v is None:
+                if len(grams) > 300_000:
+                    grams.clear()
+                v = grams[g] = self.one(g)
+            p += v
         return p
 
 
@@ -224,17 +261,21 @@ class Judge:
 
     def __init__(self, model: CharModel, prior: dict[int, dict[str, float]], allowed: set[str] | None):
         self.model, self.prior, self.allowed, self.known = model, prior, allowed, {}
+        self.steps = openings(allowed, self.seen)
 
     def options(self, word: str) -> tuple[float, list[tuple[str, str, float]]]:
         got = self.known.get(word)
         if got is None:
-            got = (self.model.logp(word), [(c, w, self.model.logp(w)) for c, w in candidates(word, self.allowed) if "utf-8" in c or not self.model.rare(w, 1.0)])
+            got = (self.model.logp(word), [(c, w, self.model.logp(w)) for c, w in candidates(word, self.steps, self.allowed)])
             if len(self.known) > 100_000:
                 self.known.clear()
             if len(word) <= 64:
                 self.known[word] = got
         return got
 
+    def seen(self, ch: str) -> bool:
+        return ch < "\x80" or self.model.held(ch) >= 1.0
+
     def freq(self, source: int, chain: str) -> float:
         own = self.prior.get(source) or self.prior[-1]
         return own.get(chain, self.prior[-1].get(chain, 1e-9))
@@ -255,33 +296,35 @@ class Judge:
         if not words:
             return "", 1.0, text
         opts = [self.options(w) for _, w in words]
-        chains = {c for _, o in opts for c, _, _ in o}
         score = {"": math.log(self.freq(source, "")) + sum(p for p, _ in opts)}
-        best: dict[str, list[str]] = {}
-        for chain in chains:
-            total, fixed = math.log(self.freq(source, chain)), []
-            for (_, w), (plain, o) in zip(words, opts, strict=True):
-                mine = next(((r, p) for c, r, p in o if c == chain), None)
-                if mine is not None and mine[1] + math.log(1 - SPARED) > plain + math.log(SPARED):
-                    total += mine[1] + math.log(1 - SPARED)
-                    fixed.append(mine[0])
-                else:
-                    total += plain + math.log(SPARED)
-                    fixed.append(w)
-            score[chain], best[chain] = total, fixed
+        # In a damaged record each word is damaged, or spared by chance; where a chain can't have made a word, it was spared.
+        spared, hit = math.log(SPARED), math.log(1 - SPARED)
+        base = sum(p + spared for p, _ in opts)
+        best: dict[str, dict[int, str]] = {}
+        for i, (plain, o) in enumerate(opts):
+            for chain, r, p in o:
+                gain = p + hit - plain - spared
+                if chain not in best:
+                    best[chain] = {}
+                    score[chain] = math.log(self.freq(source, chain)) + base
+                if gain > 0:
+                    score[chain] += gain
+                    best[chain][i] = r
         most = max(score.values())
         norm = sum(math.exp(max(-700.0, s - most)) for s in score.values())
         plain = math.exp(max(-700.0, score[""] - most)) / norm
         if plain >= 0.5 or not best:
             return "", plain, text
         # Chains that lead to the same text share its posterior.
-        shared: dict[tuple[str, ...], float] = {}
+        shared: dict[tuple, float] = {}
         for c, fixed in best.items():
-            shared[tuple(fixed)] = shared.get(tuple(fixed), 0.0) + math.exp(max(-700.0, score[c] - most)) / norm
+            key = tuple(fixed.items())
+            shared[key] = shared.get(key, 0.0) + math.exp(max(-700.0, score[c] - most)) / norm
         outcome = max(shared, key=lambda o: (shared[o], o))
-        top = max((c for c, fixed in best.items() if tuple(fixed) == outcome), key=lambda c: (score[c], c))
+        top = max((c for c, fixed in best.items() if tuple(fixed.items()) == outcome), key=lambda c: (score[c], c))
         pieces: dict[int, str] = {}
-        for (i, w), new in zip(words, best[top], strict=True):
+        for k, (i, w) in enumerate(words):
+            new = best[top].get(k, w)
             if new == w:  # damage of another kind in the same record
                 c, r, p = max(self.word(source, w), key=lambda x: x[2])
                 new = r if c and p > 0.9 else w
@@ -309,7 +352,9 @@ def fit(records: DataFrame, *, text: str, source: str | None = None, rounds: int
     the chains' frequencies (at most SOURCES + 1 times the number of chains that occur).
     """
     shared_checkpoints(records.sparkSession)
-    words = word_table(records, text, source).checkpoint()
+    # The words are few bytes and much work: they are spread by an explicit number, which isn't coalesced at run time.
+    words = word_table(records, text, source)
+    words = words.repartition(tasks(words)).checkpoint()
     sc = records.sparkSession.sparkContext
     prior: dict[int, dict[str, float]] = {}
     allowed: set[str] | None = None
@@ -407,7 +452,7 @@ def repair(records: DataFrame, *, key: str, text: str, source: str | None = None
 
     kind = records.schema[key].dataType.simpleString()
     src = F.col(source).cast("string") if source else F.lit("")
-    filled = records.select(F.col(key).alias("_key"), src.alias("source"), F.col(text).alias("text")).where(F.length(F.btrim("text")) > 0)
+    filled = spread(records.select(F.col(key).alias("_key"), src.alias("source"), F.col(text).alias("text"))).where(F.length(F.btrim("text")) > 0)
     plain = filled.where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("_key", F.lit(False).alias("damaged"), F.lit("").alias("chain"), F.lit(1.0).alias("posterior"), F.col("text").alias("repaired"), F.lit(True).alias("restored"))
     judged = filled.where(F.col("text").rlike(r"[^\x00-\x7F]")).mapInPandas(run, f"_key {kind}, damaged boolean, chain string, posterior double, repaired string, restored boolean")
     return judged.unionByName(plain).withColumnRenamed("_key", key)
