@@ -1,0 +1,6 @@
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from conftest import rows, spark  # noqa: E402, F401
