@@ -103,19 +103,25 @@ def undo_utf8(word: str, read: str) -> str | None:
     return "".join(p if i % 2 else p.translate(_from_bytes(read)) for i, p in enumerate(parts))
 
 
-def misread_utf8(word: str) -> bool:
-    """Whether all of a word beyond ASCII is UTF-8 that was read in some other encoding: hardly ever so by chance."""
+def _wide_enough(read: str, written: str, word: str, above: list[str]) -> bool:
+    """Whether a word has enough characters beyond ASCII for a multi-byte encoding: two or more, or ideographs."""
+    if read in WIDE:
+        return any(c >= "\u2e80" for c in above)
+    return len(above) >= 2 and (written == "utf-8" or 2 * len(above) >= len(word))
+
+
+def misread_utf8(word: str) -> list[str]:
+    """What a word may have been if all of it beyond ASCII is UTF-8 that was read in some other encoding."""
+    out = []
+    above = [c for c in word if c >= "\x80"]
     for r, w in STEPS:
-        if w != "utf-8":
+        if w != "utf-8" or not _wide_enough(r, w, word, above):
             continue
-        if r in WIDE:
-            if undo_utf8(word, r) is not None:
-                return True
-        else:
-            rest = _UTF8.sub("", word.translate(_as_bytes(r)))
-            if rest.isascii() and not word.isascii():
-                return True
-    return False
+        whole = r in WIDE or _UTF8.sub("", word.translate(_as_bytes(r))).isascii()
+        got = undo_utf8(word, r) if whole else None
+        if got is not None:
+            out.append(got)
+    return out
 
 
 @lru_cache(None)
@@ -177,10 +183,13 @@ def candidates(word: str, steps: list[tuple[str, str, str, frozenset[str] | None
     stack = [("", word, 0)]
     while stack:
         chain, now, depth = stack.pop()
-        odd = {c for c in now if c >= "\x80"}
+        above = [c for c in now if c >= "\x80"]
+        odd = set(above)
         for name, r, w, chars in steps:
             if chars is not None and (depth or not odd <= chars):
                 continue
+            if (w == "utf-8" or w in WIDE) and not _wide_enough(r, w, now, above):
+                continue
             name = chain + name
             if depth and allowed is not None and name not in allowed:
                 continue
@@ -209,6 +218,14 @@ class CharModel:
             got = self.chars[ch] = self.n[self.slots(ch)[0][0]]
         return got
 
+    def doubtful(self, word: str) -> bool:
+        """Whether a word is better left out at first: it is UTF-8 misread from characters that occur, or has rare ones.
+
+        A word that can be misread UTF-8, but of characters that don't occur, is counted whatever its characters.
+        """
+        as_written = misread_utf8(word)
+        return any(not self.rare(w, 1.0) for w in as_written) if as_written else self.rare(word, RARE * self.words)
+
     def rare(self, word: str, least: float) -> bool:
         """Whether a word has a character beyond ASCII that occurs less often than `least` times."""
         return any(ch >= "\x80" and self.held(ch) < least for ch in word)
@@ -263,10 +280,14 @@ class Judge:
         self.model, self.prior, self.allowed, self.known = model, prior, allowed, {}
         self.steps = openings(allowed, self.seen)
 
-    def options(self, word: str) -> tuple[float, list[tuple[str, str, float]]]:
+    def options(self, word: str) -> tuple[float, list[tuple[str, str, float]], list[tuple[str, str, float]]]:
+        """(log-probability as it is, (chain, as written, log-probability), those that gain on a spared word, with the gain)."""
         got = self.known.get(word)
         if got is None:
-            got = (self.model.logp(word), [(c, w, self.model.logp(w)) for c, w in candidates(word, self.steps, self.allowed)])
+            plain = self.model.logp(word)
+            opts = [(c, w, self.model.logp(w)) for c, w in candidates(word, self.steps, self.allowed)]
+            least = plain + math.log(SPARED) - math.log(1 - SPARED)
+            got = (plain, opts, [(c, w, p - least) for c, w, p in opts if p > least])
             if len(self.known) > 100_000:
                 self.known.clear()
             if len(word) <= 64:
@@ -282,7 +303,7 @@ class Judge:
 
     def word(self, source: int, word: str) -> list[tuple[str, str, float]]:
         """(chain, word as written, posterior); chain '' is identity."""
-        plain, opts = self.options(word)
+        plain, opts, _ = self.options(word)
         scored = [("", word, math.log(self.freq(source, "")) + plain)] + [(c, w, math.log(self.freq(source, c)) + p) for c, w, p in opts]
         top = max(s for _, _, s in scored)
         weights = [math.exp(s - top) for _, _, s in scored]
@@ -296,20 +317,21 @@ class Judge:
         if not words:
             return "", 1.0, text
         opts = [self.options(w) for _, w in words]
-        score = {"": math.log(self.freq(source, "")) + sum(p for p, _ in opts)}
-        # In a damaged record each word is damaged, or spared by chance; where a chain can't have made a word, it was spared.
-        spared, hit = math.log(SPARED), math.log(1 - SPARED)
-        base = sum(p + spared for p, _ in opts)
+        # In a damaged record each word is damaged, or spared by chance; where a chain can't have made a word, it was
+        # spared. A chain that gains on no word is no better than damage that spared them all.
         best: dict[str, dict[int, str]] = {}
-        for i, (plain, o) in enumerate(opts):
-            for chain, r, p in o:
-                gain = p + hit - plain - spared
-                if chain not in best:
-                    best[chain] = {}
-                    score[chain] = math.log(self.freq(source, chain)) + base
-                if gain > 0:
-                    score[chain] += gain
-                    best[chain][i] = r
+        gains: dict[str, float] = {}
+        for i, (_, _, gainful) in enumerate(opts):
+            for chain, r, gain in gainful:
+                gains[chain] = gains.get(chain, 0.0) + gain
+                best.setdefault(chain, {})[i] = r
+        if not best:
+            return "", 1.0, text
+        whole = sum(o[0] for o in opts)
+        base = whole + len(words) * math.log(SPARED)
+        score = {"": math.log(self.freq(source, "")) + whole}
+        for chain, gain in gains.items():
+            score[chain] = math.log(self.freq(source, chain)) + base + gain
         most = max(score.values())
         norm = sum(math.exp(max(-700.0, s - most)) for s in score.values())
         plain = math.exp(max(-700.0, score[""] - most)) / norm
@@ -360,8 +382,8 @@ def fit(records: DataFrame, *, text: str, source: str | None = None, rounds: int
     allowed: set[str] | None = None
     counts: np.ndarray | None = None
     for step in range(rounds + 2):
-        # Step 0 counts the words without misread UTF-8, step 1 those of them whose characters are frequent; then
-        # expectation and maximization alternate.
+        # Step 0 counts the words that can't be misread UTF-8. Step 1 counts those of frequent characters, but for words
+        # that read as UTF-8 have known characters. Then expectation and maximization alternate.
         state = sc.broadcast((counts, prior, allowed, step))
 
         def count(batches: Iterator[pd.DataFrame], state=state) -> Iterator[pd.DataFrame]:
@@ -372,7 +394,7 @@ def fit(records: DataFrame, *, text: str, source: str | None = None, rounds: int
             for pdf in batches:
                 for source, word, n in zip(_source_bucket(pdf["source"]), pdf["word"], pdf["n"], strict=True):
                     for piece in _pieces(word):
-                        if "�" in piece or (step < 2 and misread_utf8(piece)) or (first and first.rare(piece, RARE * first.words)):
+                        if "�" in piece or (step == 0 and misread_utf8(piece)) or (first and first.doubtful(piece)):
                             continue
                         for chain, written, p in judge.word(source, piece) if judge else [("", piece, 1.0)]:
                             if p < 1e-4:

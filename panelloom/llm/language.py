@@ -42,6 +42,7 @@ _CODE = {name: words[0] for part in LANGUAGES.replace("\n", "|").split("|") if (
 BUCKETS, ORDERS, TEMPER = 1 << 17, (1, 2, 3, 4), 0.35
 #: The classifier is fitted on at most this many labelled documents a language, none longer than FIT_CHARS.
 FIT_DOCUMENTS, FIT_CHARS, FIT_ROUNDS = 400, 20_000, 2
+FIT_BLOCK = 50
 #: A language needs this many labelled documents to be known at all.
 LEAST_DOCUMENTS = 3
 #: Records by which a source's habits are smoothed towards those of all sources.
@@ -95,7 +96,7 @@ def _units(sentence: str) -> int:
 
 def grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, part index) of the n-grams of letters of each part; other characters are one blank between words."""
-    joined = "\n".join(" " + re.sub(r"[\W\d_]+", " ", p.lower()).strip() + " " for p in parts)
+    joined = "\n".join(f" {words} " if (words := re.sub(r"[\W\d_]+", " ", p.lower()).strip()) else "" for p in parts)
     codes = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
     part = np.cumsum(codes == 10)
     inside = codes != 10
@@ -133,16 +134,24 @@ class Classifier:
     def fit(cls, labelled: list[tuple[str, str]], rounds: int = FIT_ROUNDS) -> Classifier:
         """From (language, text); wrong labels are corrected by what the other texts say, round by round."""
         langs = sorted({x for x, _ in labelled})
-        parts = [". ".join(sentences(t)) for _, t in labelled]
-        at, where = grams(parts)
         own = np.array([langs.index(x) for x, _ in labelled])
+        # The n-grams lie in compact blocks, and only a block's worth of them is expanded at a time.
+        blocks = []
+        for i in range(0, len(labelled), FIT_BLOCK):
+            at, where = grams([". ".join(sentences(t)) for _, t in labelled[i : i + FIT_BLOCK]])
+            blocks.append((i, at.astype(np.int32), where.astype(np.int32)))
         for _ in range(rounds + 1):
-            counts = np.bincount(own[where] * BUCKETS + at, minlength=len(langs) * BUCKETS).reshape(len(langs), BUCKETS).astype(np.float64)
+            counts = np.zeros(len(langs) * BUCKETS)
+            for i, at, where in blocks:
+                counts += np.bincount(own[i + where].astype(np.int64) * BUCKETS + at, minlength=len(counts))
+            counts = counts.reshape(len(langs), BUCKETS)
             shared = counts.sum(0) / max(1.0, counts.sum())
             total = counts.sum(1, keepdims=True)
             table = np.log((counts + 200.0 * shared + 1e-3) / (total + 200.0 + 1e-3 * BUCKETS)).T.astype(np.float32).copy()
-            score = _sums(table, at, where, len(parts))
-            own = np.where(score.any(1), score.argmax(1), own)
+            for i, at, where in blocks:
+                score = _sums(table, at, where, min(FIT_BLOCK, len(labelled) - i))
+                part = own[i : i + FIT_BLOCK]
+                own[i : i + FIT_BLOCK] = np.where(score.any(1), score.argmax(1), part)
         return cls(langs, table)
 
     def score(self, parts: list[str]) -> np.ndarray:
