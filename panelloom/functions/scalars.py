@@ -99,7 +99,7 @@ def excel_serial(c: Column | str) -> Column:
     """Days since 1899-12-30 of a text yyyy-M-d H:m:s as a double; blank is null, other texts raise an error."""
     filled = F.nullif(strip(_col(c)), F.lit(""))
     # unix_micros needs an instant: both sides are read in the session's zone, so the zone cancels out with UTC.
-    micros = F.unix_micros(F.to_timestamp(filled, F.lit("yyyy-M-d H:m:s"))) - F.unix_micros(F.expr("TIMESTAMP'1899-12-30 00:00:00'"))
+    micros = F.unix_micros(F.to_timestamp(filled, "yyyy-M-d H:m:s")) - F.unix_micros(F.expr("TIMESTAMP'1899-12-30 00:00:00'"))
     return micros / F.lit(86_400_000_000.0)
 
 

@@ -249,11 +249,11 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
     columns = [(f.name, f.dataType.simpleString()) for f in layout.schema.fields]
     names = [c for c, _ in columns]
     texts = [c for c, t in columns if t != "boolean"]  # the values of a boolean say nothing
-    domain = layout.agg(*[F.theta_sketch_agg(F.col(c).cast("string"), SKETCH_BITS).alias(c) for c in texts])
+    domain = layout.agg(*[F.theta_sketch_agg(F.col(f"`{c}`").cast("string"), SKETCH_BITS).alias(f"_d{i}") for i, c in enumerate(texts)])
     prof = profiles(files)
     scored = prof.crossJoin(F.broadcast(domain))  # one row: the sketches of the layout's columns
     share = lambda c: F.when(F.theta_sketch_estimate("values") > 0, F.theta_sketch_estimate(F.theta_intersection("values", c)) / F.theta_sketch_estimate("values")).otherwise(0.0)
-    scored = scored.select("feed", "file_id", "name", F.array(*[share(c) for c in texts]).alias("shares"))
+    scored = scored.select("feed", "file_id", "name", F.array(*[share(f"_d{i}") for i in range(len(texts))]).alias("shares"))
     per_file = scored.groupBy("feed", "file_id").agg(F.collect_list(F.struct("name", "shares")).alias("fields"))
 
     def assign(batches):

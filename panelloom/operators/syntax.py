@@ -102,7 +102,8 @@ def parsed(files: DataFrame) -> DataFrame:
         names = [c.split()[0] for c in ROWS.split(", ")]
         for pdf in batches:
             rows = [r | {"file_no": n, "source_file": f, "position": i} for n, f, t in zip(pdf.file_no, pdf.source_file, pdf.text, strict=True) for i, r in enumerate(parse(t or ""))]
-            yield pd.DataFrame(rows, columns=names).astype({"file_no": "int32", "source_line": "int32", "position": "int32"})
+            # Plain objects: a string column in chunks isn't taken over to Spark.
+            yield pd.DataFrame(rows, columns=names).astype(object).astype({"file_no": "int32", "source_line": "int32", "position": "int32"})
 
     return files.select("file_no", "source_file", "text").mapInPandas(run, ROWS)
 
