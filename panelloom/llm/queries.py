@@ -25,15 +25,15 @@ def table(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _survivors(spark, d, fill):
+def _survivors(spark, d, fill, values=True):
     return survivor.survivors(
-        table(spark, d, "followup_small"), group="brokerpanelid", record="responseid", finished="finished", progress="progress", recorded="recordeddate", fill=fill
+        table(spark, d, "followup_small"), group="brokerpanelid", record="responseid", finished="finished", progress="progress", recorded="recordeddate", fill=fill, values=values
     )
 
 
 @query
 def p3_found(spark, d):
-    best = _survivors(spark, d, ("q1", "q9_6_text"))
+    best = _survivors(spark, d, ("q1", "q9_6_text"), values=False)
     text = lambda c: F.coalesce(c, F.lit(""))
     return best.select(
         F.col("_group").alias("broker_panel_id"),

@@ -57,11 +57,12 @@ def recorded_second(c: str) -> Column:
     return F.coalesce(serial, F.floor(micros / 1_000_000) - offset)
 
 
-def survivors(records: DataFrame, *, group: str, record: str, finished: str, progress: str, recorded: str, fill: Sequence[str]) -> DataFrame:
+def survivors(records: DataFrame, *, group: str, record: str, finished: str, progress: str, recorded: str, fill: Sequence[str], values: bool = True) -> DataFrame:
     """One row per group of two or more records: _group, _size, the best record's id and, per field of fill, a struct.
 
     Columns: _group (the group's key, trimmed and in lower case), _size, `record`, and for each field f of fill the
     struct f(value, source): the value of the best record that fills it and that record's id, null if none does.
+    With values=False value is null, and the fields' texts are not shuffled.
     Records rank by finished, progress, recorded, then id by code point, highest first; blank and unreadable values rank
     below all others; a null id ranks below all ids. Rows with a blank key form no group; records delivered again count
     each; of equal records any is taken, they differ in nothing that ranks; an empty table gives no rows.
@@ -77,14 +78,14 @@ def survivors(records: DataFrame, *, group: str, record: str, finished: str, pro
         progress_number(progress).alias("_pro"),
         recorded_second(recorded).alias("_rec"),
         F.col(record).cast("string").alias("_id"),
-        *[F.when(strip(value(c), UNICODE_SPACE) != "", value(c)).alias(f"_f{i}") for i, c in enumerate(fill)],
+        *[F.when(strip(value(c), UNICODE_SPACE) != "", value(c) if values else F.lit("")).alias(f"_f{i}") for i, c in enumerate(fill)],
     ).where("_group <> ''")
     # Cells: (group, finished, progress), each with its latest record per field. Null sorts lowest in a struct.
     best = [F.max(F.struct("_rec", "_id")).alias("_c_0")]
-    best += [F.max(F.when(F.col(f"_f{i}").isNotNull(), F.struct("_rec", "_id", F.col(f"_f{i}").alias("value")))).alias(f"_c_{i + 1}") for i in range(len(fill))]
+    best += [F.max(F.when(F.col(f"_f{i}").isNotNull(), F.struct("_rec", "_id", *([F.col(f"_f{i}").alias("value")] if values else [])))).alias(f"_c_{i + 1}") for i in range(len(fill))]
     cells = ranked.groupBy("_group", "_fin", "_pro").agg(F.count(F.lit(1)).alias("_n"), *best)
     # One row per cell and field; dominated cells are those that a cell at least as finished and complete beats in time.
-    lines = F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"_c_{i}._rec").alias("rec"), F.col(f"_c_{i}._id").alias("id"), (F.col(f"_c_{i}.value") if i else F.lit(None).cast("string")).alias("value"), F.col(f"_c_{i}").isNotNull().alias("filled")) for i in range(len(fill) + 1)])
+    lines = F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"_c_{i}._rec").alias("rec"), F.col(f"_c_{i}._id").alias("id"), (F.col(f"_c_{i}.value") if i and values else F.lit(None).cast("string")).alias("value"), F.col(f"_c_{i}").isNotNull().alias("filled")) for i in range(len(fill) + 1)])
     long = cells.select("_group", "_fin", "_pro", "_n", F.inline(lines)).where("filled")
     low = lambda c, least: F.coalesce(F.col(c), F.lit(least))
     long = long.withColumns({"_a": low("_fin", -1), "_b": low("_pro", float("-inf")), "_t": low("rec", -(1 << 62))})

@@ -57,5 +57,11 @@ def test_instants(spark):
     assert [r[0] for r in odd.select(survivor.recorded_second("c")).collect()] == [None] * 6
 
 
+def test_without_values(spark):
+    df = spark.createDataFrame([("k", "r1", "1", "50", None, "1", "x", 7), ("k", "r2", "1", "60", None, " ", "y", 7)], SCHEMA)
+    out = survivor.survivors(df, group="brokerpanelid", record="responseid", finished="finished", progress="progress", recorded="recordeddate", fill=("q1", "txt"), values=False)
+    assert [(tuple(r["q1"]), tuple(r["txt"])) for r in out.collect()] == [((None, "r1"), (None, "r2"))]
+
+
 def test_empty(spark):
     assert survive(spark, [("a", "r", "1", "1", "", "", "")]) == {}
