@@ -94,13 +94,16 @@ def _units(sentence: str) -> int:
     return han // 2 + len(_WORD.findall(_HAN.sub(" ", sentence)))
 
 
-def grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, part index) of the n-grams of letters of each part; other characters are one blank between words."""
+def grams(parts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, part index) of the n-grams of each order; other characters than letters are one blank between words.
+
+    Part indices ascend within an order.
+    """
     joined = "\n".join(f" {words} " if (words := re.sub(r"[\W\d_]+", " ", p.lower()).strip()) else "" for p in parts)
     codes = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
     part = np.cumsum(codes == 10)
     inside = codes != 10
-    out, where = [], []
+    out = []
     # Of each end position: the hash of the n-gram that ends there, and whether it lies within one part.
     h, whole = codes.copy(), inside.copy()
     for n in range(1, max(ORDERS) + 1):
@@ -109,18 +112,17 @@ def grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if n in ORDERS and len(h):
             keep = whole & ((codes[n - 1 :] != 32) | (n > 1))
             mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-            out.append(((mixed >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64)[keep])
-            where.append(part[n - 1 :][keep])
-    return (np.concatenate(out), np.concatenate(where)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            out.append((((mixed >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int32)[keep], part[n - 1 :][keep].astype(np.int32)))
+    return out
 
 
-def _sums(table: np.ndarray, at: np.ndarray, where: np.ndarray, parts: int) -> np.ndarray:
+def _sums(table: np.ndarray, orders: list[tuple[np.ndarray, np.ndarray]], parts: int) -> np.ndarray:
     """Rows of the table summed by part."""
     score = np.zeros((parts, table.shape[1]))
-    if len(at):
-        order = np.argsort(where, kind="stable")
-        starts = np.flatnonzero(np.diff(where[order], prepend=-1))
-        score[where[order][starts]] = np.add.reduceat(table[at[order]], starts, axis=0)
+    for at, where in orders:
+        if len(at):
+            starts = np.flatnonzero(np.diff(where, prepend=-1))
+            score[where[starts]] += np.add.reduceat(table[at], starts, axis=0)
     return score
 
 
@@ -138,18 +140,17 @@ class Classifier:
         # The n-grams lie in compact blocks, and only a block's worth of them is expanded at a time.
         blocks = []
         for i in range(0, len(labelled), FIT_BLOCK):
-            at, where = grams([". ".join(sentences(t)) for _, t in labelled[i : i + FIT_BLOCK]])
-            blocks.append((i, at.astype(np.int32), where.astype(np.int32)))
+            blocks.append((i, grams([". ".join(sentences(t)) for _, t in labelled[i : i + FIT_BLOCK]])))
         for _ in range(rounds + 1):
             counts = np.zeros(len(langs) * BUCKETS)
-            for i, at, where in blocks:
+            for i, at, where in ((i, *pair) for i, orders in blocks for pair in orders):
                 counts += np.bincount(own[i + where].astype(np.int64) * BUCKETS + at, minlength=len(counts))
             counts = counts.reshape(len(langs), BUCKETS)
             shared = counts.sum(0) / max(1.0, counts.sum())
             total = counts.sum(1, keepdims=True)
             table = np.log((counts + 200.0 * shared + 1e-3) / (total + 200.0 + 1e-3 * BUCKETS)).T.astype(np.float32).copy()
-            for i, at, where in blocks:
-                score = _sums(table, at, where, min(FIT_BLOCK, len(labelled) - i))
+            for i, orders in blocks:
+                score = _sums(table, orders, min(FIT_BLOCK, len(labelled) - i))
                 part = own[i : i + FIT_BLOCK]
                 own[i : i + FIT_BLOCK] = np.where(score.any(1), score.argmax(1), part)
         return cls(langs, table)
@@ -158,8 +159,7 @@ class Classifier:
         """Tempered log-likelihoods, one row per part."""
         if not parts:
             return np.zeros((0, len(self.langs)))
-        at, where = grams(parts)
-        return _sums(self.table, at, where, len(parts)) * TEMPER
+        return _sums(self.table, grams(parts), len(parts)) * TEMPER
 
 
 def chain(score: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -289,7 +289,15 @@ def document(parts: list[str], score: np.ndarray, prior: np.ndarray, langs: list
     """(segments, languages) of one document's sentences."""
     if not parts:
         return [], []
-    best, sure = chain(score, prior)
+    alike = score.argmax(1)
+    if (alike == alike[0]).all():
+        # No sentence leans elsewhere, so the chain can't either: they share the posterior of the whole.
+        total = score.sum(0) + prior
+        p = np.exp(total - total.max())
+        p /= p.sum()
+        best, sure = (alike, np.full(len(parts), p[alike[0]])) if p.argmax() == alike[0] else chain(score, prior)
+    else:
+        best, sure = chain(score, prior)
     units = [_units(p) for p in parts]
     segments: list[dict] = []
     words: dict[int, int] = {}
