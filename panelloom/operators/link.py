@@ -59,25 +59,28 @@ def duplicated(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def check_crosswalk(df: DataFrame) -> None:
-    """The crosswalk has its three columns, each filled and unique (stripped, in their own case)."""
+    """The crosswalk has its three columns, each filled and unique (stripped, in their own case), by one aggregation.
+
+    Current ids that are the same when folded are an error too: they would make one response match two rows.
+    """
     if tuple(df.columns) != CROSSWALK:
         raise ValueError(f"Unexpected crosswalk columns: {df.columns}")
-    row = df.agg(*[x for c in CROSSWALK for x in (F.count_if(text(c) == ""), F.count(F.lit(1)) - F.count_distinct(text(c)))]).first()
+    folded = F.count(F.lit(1)) - F.count_distinct(fold_id(CROSSWALK[0]))
+    row = df.agg(*[x for c in CROSSWALK for x in (F.count_if(text(c) == ""), F.count(F.lit(1)) - F.count_distinct(text(c)))], folded).first()
     for i, c in enumerate(CROSSWALK):
         if row[2 * i] or row[2 * i + 1]:
             raise ValueError(f"A crosswalk column is blank or duplicated: {c}")
+    if row[-1]:
+        raise ValueError("The crosswalk has several rows with the same ID.")
 
 
 def attach_crosswalk(followup: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """followup (with _current_id) and its crosswalk ids: _hid and _original_id, '' where there is none.
 
-    Either side's key must be unique ignoring case, or an error is raised. No side is broadcast by hint: a crosswalk
-    grows with the panel, and the optimizer broadcasts it while it is small.
+    Both sides' keys are unique: the follow-up's by its deduplication, the crosswalk's by check_crosswalk. No side is
+    broadcast by hint: a crosswalk grows with the panel, and the optimizer broadcasts it while it is small.
     """
     x = crosswalk.select(fold_id(CROSSWALK[0]).alias("_current_id"), text(CROSSWALK[1]).alias("_hid"), fold_id(CROSSWALK[2]).alias("_original_id"), text(CROSSWALK[2]).alias("_original"))
-    for name, df in (("follow-up", followup), ("crosswalk", x)):
-        if duplicated(df, ["_current_id"]).limit(1).count():
-            raise ValueError(f"The {name} has several rows with the same ID.")
     blank = F.lit("")
     return followup.join(x, "_current_id", "left").withColumns({c: F.coalesce(c, blank) for c in ("_hid", "_original_id", "_original")})
 
@@ -118,11 +121,12 @@ def link(master: DataFrame, followup: DataFrame, crosswalk: DataFrame, *, prefix
     names = target_names(follow_cols, master_cols, prefix)
     keyed = master.withColumn("_original_id", fold_id("PSIDBrokerID"))
     crossed = attach_crosswalk(kept, crosswalk)
-    wanted = crossed.where("_original_id <> ''").select("_original_id")
-    twice = duplicated(keyed.join(wanted.distinct(), "_original_id", "left_semi"), ["_original_id"]).orderBy("_original_id").limit(10).collect()
+    # One job for both: an original id that several people link to, and one that several master rows have.
+    count = lambda df, n: df.where("_original_id <> ''").groupBy("_original_id").agg(F.count(F.lit(1)).alias(n))
+    twice = count(crossed, "f").join(count(keyed, "m"), "_original_id", "left").where("f > 1 or m > 1").orderBy("_original_id").limit(10).collect()
+    if several := [r["_original_id"] for r in twice if (r["m"] or 0) > 1]:
+        raise ValueError("The crosswalk maps to duplicated master IDs: " + ", ".join(several))
     if twice:
-        raise ValueError("The crosswalk maps to duplicated master IDs: " + ", ".join(r["_original_id"] for r in twice))
-    if duplicated(wanted, ["_original_id"]).limit(1).count():
         raise ValueError("Follow-up IDs are missing or duplicated after the merge.")
     state = with_status(crossed, keyed)
 

@@ -6,6 +6,7 @@ pipeline are single files with a fixed byte layout, streamed from the executors
 
 from __future__ import annotations
 
+import codecs
 import csv
 import hashlib
 import json
@@ -53,7 +54,7 @@ def read_text_table(spark: SparkSession, path: str | Path, *, encoding: str = "U
         .option("maxColumns", 20480)
         .option("maxCharsPerColumn", -1)
         .option("enforceSchema", True)
-        .option("encoding", encoding)
+        .option("encoding", {"iso8859-1": "ISO-8859-1"}.get(codecs.lookup(encoding).name, encoding))
         .csv(str(path))
     )
     df = raw.select(*[F.coalesce(F.col(quoted(n)), F.lit("")).alias(n) for n in names])

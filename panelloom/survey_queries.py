@@ -27,11 +27,11 @@ def _run(df, *specs):
 
 @query
 def filter_metadata_rows(spark, d):
-    df = table(spark, d, "followup_small").select("row_id", F.when(F.col("row_id") % 97 == 0, "Response ID").otherwise(F.col("responseid")).alias("ResponseId"))
+    df = table(spark, d, "followup_small").select("row_id", F.when(F.col("finished") == "?", "Response ID").otherwise(F.col("responseid")).alias("ResponseId"))
     return append.drop_metadata(df)
 
 
-oracle("filter_metadata_rows", "select row_id, responseid as \"ResponseId\" from followup_small where row_id % 97 <> 0")
+oracle("filter_metadata_rows", "select row_id, responseid as \"ResponseId\" from followup_small where coalesce(finished, '') <> '?'")
 
 
 @query
@@ -224,11 +224,11 @@ oracle("duplicate_keys", "select l_orderkey, l_linenumber, count(*) as rows from
 
 
 def _linking(spark, d):
-    """A master of customers, a follow-up of orders (the ranks decide which order stays) and a crosswalk with gaps."""
+    """Customers out of debt as the master, all orders as the follow-up, and a crosswalk that lacks a segment."""
     customers, orders = table(spark, d, "customer"), table(spark, d, "orders")
     person, hid = F.concat(F.lit("P"), F.col("c_custkey")), F.concat(F.lit("H"), F.col("c_custkey"))
-    master = customers.where("c_custkey % 11 <> 0").select(person.alias("PSIDBrokerID"), F.col("c_acctbal").alias("base"))
-    cross = customers.where("c_custkey % 7 <> 0").select(F.concat(F.lit("Cur "), F.col("c_custkey")).alias("ID March 2026"), hid.alias("HIDBrokerPanelId"), person.alias("ORIGINAL ID"))
+    master = customers.where("c_acctbal >= 0").select(person.alias("PSIDBrokerID"), F.col("c_acctbal").alias("base"))
+    cross = customers.where("c_mktsegment <> 'MACHINERY'").select(F.concat(F.lit("Cur "), F.col("c_custkey")).alias("ID March 2026"), hid.alias("HIDBrokerPanelId"), person.alias("ORIGINAL ID"))
     follow = orders.select(
         F.concat(F.lit(" cUR "), F.col("o_custkey"), F.lit(" ")).alias("BrokerPanelId"),
         F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0).alias("Finished"),
@@ -239,8 +239,8 @@ def _linking(spark, d):
     return master, follow, cross
 
 
-_LINKED = """with m as (select 'P' || c_custkey as p, lower('P' || c_custkey) as oid, c_acctbal as base from customer where c_custkey % 11 <> 0),
-x as (select lower('Cur ' || c_custkey) as cid, 'H' || c_custkey as hid, 'P' || c_custkey as orig, lower('P' || c_custkey) as oid from customer where c_custkey % 7 <> 0),
+_LINKED = """with m as (select 'P' || c_custkey as p, lower('P' || c_custkey) as oid, c_acctbal as base from customer where c_acctbal >= 0),
+x as (select lower('Cur ' || c_custkey) as cid, 'H' || c_custkey as hid, 'P' || c_custkey as orig, lower('P' || c_custkey) as oid from customer where c_mktsegment <> 'MACHINERY'),
 f as (select *, row_number() over (partition by o_custkey order by (o_orderstatus = 'F') desc, o_totalprice desc, o_orderkey::varchar desc) as rn from orders),
 k as (select ' cUR ' || o_custkey || ' ' as bp, lower('cur ' || o_custkey) as cid, (case when o_orderstatus = 'F' then 1 else 0 end)::double as fin, o_totalprice as pro, o_orderkey::varchar as rid from f where rn = 1),
 s as (select k.*, x.hid, x.orig, x.oid, case when x.oid is null then 'no_crosswalk' when m.oid is null then 'crosswalk_original_missing_master' else 'linked_existing_master' end as status
@@ -285,8 +285,8 @@ def _perturbed(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     other = orders.withColumns(
         {
-            "o_totalprice": F.when(F.col("o_orderkey") % 13 == 0, F.col("o_totalprice") + 1).when(F.col("o_orderkey") % 17 == 0, F.col("o_totalprice") + 1e-13).when(F.col("o_orderkey") % 19 == 0, None).otherwise(F.col("o_totalprice")),
-            "o_orderstatus": F.when(F.col("o_orderkey") % 23 == 0, "").otherwise(F.col("o_orderstatus")),
+            "o_totalprice": F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") + 1).when(F.col("o_orderpriority") == "2-HIGH", F.col("o_totalprice") + 1e-13).when(F.col("o_orderstatus") == "P", None).otherwise(F.col("o_totalprice")),
+            "o_orderstatus": F.when(F.col("o_totalprice") < 5000, "").otherwise(F.col("o_orderstatus")),
         }
     )
     return orders, other
@@ -299,8 +299,8 @@ def dataset_diff(spark, d):
 
 oracle(
     "dataset_diff",
-    """with m as (select 'o_totalprice' as "column", o_orderkey as k from orders where o_orderkey % 13 = 0 or (o_orderkey % 17 <> 0 and o_orderkey % 19 = 0)
-union all select 'o_orderstatus', o_orderkey from orders where o_orderkey % 23 = 0)
+    """with m as (select 'o_totalprice' as "column", o_orderkey as k from orders where o_orderpriority = '1-URGENT' or (o_orderpriority <> '2-HIGH' and o_orderstatus = 'P')
+union all select 'o_orderstatus', o_orderkey from orders where o_totalprice < 5000)
 select "column", count(*) as mismatches, list_slice(list(k order by k), 1, 5) as example_ids from m group by 1""",
 )
 
@@ -308,13 +308,13 @@ select "column", count(*) as mismatches, list_slice(list(k order by k), 1, 5) as
 @query
 def id_set_diff(spark, d):
     a = table(spark, d, "orders").select(F.col("o_custkey").alias("id"))
-    b = table(spark, d, "customer").where("c_custkey % 5 <> 0").select(F.col("c_custkey").alias("id"))
+    b = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("id"))
     return diff.id_set_difference(a, b, "id")
 
 
 oracle(
     "id_set_diff",
-    "with a as (select distinct o_custkey as id from orders), b as (select c_custkey as id from customer where c_custkey % 5 <> 0) select id, 'candidate_only' as side from a where id not in (select id from b) union all select id, 'oracle_only' from b where id not in (select id from a)",
+    "with a as (select distinct o_custkey as id from orders), b as (select c_custkey as id from customer where c_acctbal > 0) select id, 'candidate_only' as side from a where id not in (select id from b) union all select id, 'oracle_only' from b where id not in (select id from a)",
 )
 
 _IDS = ["psidbrokerid", "responseid", "y0_responseid", "y1_responseid", "y2_responseid"]
@@ -346,14 +346,16 @@ def normalize_cluster_code(spark, d):
 
 oracle("normalize_cluster_code", f"select row_id, {_CODE.format('cluster_code')} as code from clusters")
 
-_CFG = ExportConfig(_IDS, "tsc_rentothercategories_ourboro", {"1": "Stopped looking", "2": "Looking", "3": "Planning later", "4": "Someday", "5": "No plan", "6": "Clients"}, ["1", "2", "3", "4", "5"], {"Y0": "y0_", "Y1": "y1_", "Y2": "y2_"}, exclude_stems=["responseid", "hidbrokerpanelid", "crosswalk_original_id", "crosswalk_status", "linked_at"])
+_CFG = ExportConfig(_IDS, "tsc_code", {"1": "Stopped looking", "2": "Looking", "3": "Planning later", "4": "Someday", "5": "No plan", "6": "Clients"}, ["1", "2", "3", "4", "5"], {"Y0": "y0_", "Y1": "y1_", "Y2": "y2_"}, exclude_stems=["responseid", "hidbrokerpanelid", "crosswalk_original_id", "crosswalk_status", "linked_at"])
 
 
 def _marked(spark, d):
-    return clusters.identified(table(spark, d, "linked_master"), _CFG)
+    m = table(spark, d, "linked_master")
+    source = next(c for c in m.columns if c.startswith("tsc_"))  # the only such column
+    return clusters.identified(m.withColumnRenamed(source, _CFG.source_column), _CFG)
 
 
-_MARKED = f"with k as (select row_id, {_FIRST} as rid, {_CODE.format(_CFG.source_column)} as code, removed_at from linked_master) "
+_MARKED = f"with k as (select row_id, {_FIRST} as rid, {_CODE.format(_CFG.source_column)} as code, removed_at from (select *, columns('tsc_.*') as tsc_code from linked_master)) "
 
 
 @query
@@ -621,13 +623,13 @@ union all select source_file, '5', 'warning', 'INCOMPLETE_STATEMENT', 'SPSS stat
 
 @query
 def source_places(spark, d):
-    e = table(spark, d, "clusters").select("row_id", F.nullif(F.col("cluster_label"), F.lit("Someday")).alias("f"), F.when(F.col("row_id") % 3 > 0, F.col("row_id").cast("string")).alias("n"))
+    e = table(spark, d, "clusters").select("row_id", F.nullif(F.col("cluster_label"), F.lit("Someday")).alias("f"), F.when(F.col("cluster_code") != "1", F.col("row_id").cast("string")).alias("n"))
     return e.select("row_id", source_place("f", "n").alias("place"))
 
 
 oracle(
     "source_places",
-    f"""with e as (select row_id, coalesce(trim(nullif(cluster_label, 'Someday'), {_S}), '') as f, case when row_id % 3 > 0 then row_id::varchar else '' end as n from clusters)
+    f"""with e as (select row_id, coalesce(trim(nullif(cluster_label, 'Someday'), {_S}), '') as f, case when cluster_code <> '1' then row_id::varchar else '' end as n from clusters)
 select row_id, case when f <> '' and n <> '' then f || ':' || n when f <> '' then f when n <> '' then 'line ' || n else 'unknown source' end as place from e""",
 )
 

@@ -10,7 +10,9 @@ from panelloom.session import case_sensitive, get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g", spark__ui__showConsoleProgress="false")
+    # Tiny tables: compiling each plan would take longer than running it.
+    conf = {"spark.sql.shuffle.partitions": "2", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false", "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    s = get_spark("tests", "local[4]", **{k.replace(".", "__"): v for k, v in conf.items()})
     s.sparkContext.setLogLevel("ERROR")
     case_sensitive(s)
     yield s
