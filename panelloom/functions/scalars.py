@@ -29,18 +29,25 @@ def text(c: Column | str) -> Column:
     return F.coalesce(strip(_col(c).cast("string")), F.lit(""))
 
 
-def fold_id(c: Column | str) -> Column:
-    """Stripped, case-folded identifier with '' for null (identifiers of the linking stage).
+# Letters whose case folding isn't their lower case, by rule: those that fold to one letter, and to several. Capital sigma
+# is folded here as well (its lower case depends on its place), and Cherokee folds to its capitals.
+_LETTERS = [c for c in map(chr, [*range(128, 0xD800), *range(0xE000, 0x20000)]) if c.casefold() != c.lower() or c in "Σİ"]
+_ONE = [c for c in _LETTERS if len(c.casefold()) == 1 and not "Ꭰ" <= c <= "ᏽ" and not "ꭰ" <= c <= "ꮿ"]
+_MORE = [c for c in _LETTERS if len(c.casefold()) > 1]
+_CHEROKEE = ("".join(map(chr, [*range(0xAB70, 0xABC0), *range(0x13F8, 0x13FE)])), "".join(map(chr, range(0x13A0, 0x13F6))))
 
-    Identifiers of ASCII characters stay in the JVM; the rare others go through Python's full case folding.
-    """
-    s = text(c)
-    return F.when(s.rlike("^[\\x00-\\x7F]*$"), F.lower(s)).otherwise(_casefold(s))
 
+def casefold(c: Column) -> Column:
+    """Full case folding as Python's, in the JVM; only texts beyond ASCII take the long way."""
+    one = F.translate(c, "".join(_ONE), "".join(x.casefold() for x in _ONE))
+    table = F.create_map(*[F.lit(x) for m in _MORE for x in (m, m.casefold())])
+    more = F.when(one.rlike("[" + "".join(_MORE) + "]"), F.array_join(F.transform(F.split(one, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")).otherwise(one)
+    return F.when(c.rlike(r"^[\x00-\x7F]*$"), F.lower(c)).otherwise(F.translate(F.lower(more), *_CHEROKEE))
 
-@F.pandas_udf(T.StringType())
-def _casefold(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: x.casefold() if x is not None else None)
+
+def fold_id(c: Column | str) -> Column:
+    """Stripped, case-folded identifier with '' for null (identifiers of the linking stage)."""
+    return casefold(text(c))
 
 
 def to_number(c: Column | str) -> Column:

@@ -1,7 +1,9 @@
 import math
+import unicodedata
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from panelloom.functions import scalars as S
 
@@ -29,6 +31,13 @@ def test_ids(spark):
     assert [r[0] for r in df.select(S.text("c")).collect()] == ["Straße", "ABC", "", "Σς"]
 
 
+def test_case_folding_equals_pythons(spark):
+    letters = [chr(i) for i in [*range(1, 0x3000), *range(0xA000, 0xD7FF), *range(0xF900, 0xFFFE), *range(0x10400, 0x10600)] if unicodedata.category(chr(i)) != "Cn"]  # the JVM may know newer letters
+    texts = [*letters, "ΟΔΟΣ", "Straße İstanbul ISPARTA ıẞ", "ΣΣς"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in texts], "c string").select(S.casefold(F.col("c"))).collect()]
+    assert [(x, y) for x, y in zip(texts, got, strict=True) if x.casefold() != y] == []
+
+
 def test_first_filled(spark):
     df = spark.createDataFrame([(None, " ", "c"), ("a ", "b", None), (None, None, None)], "x string, y string, z string")
     assert rows(df.select(S.first_filled(["x", "y", "z"]), S.first_filled_source(["x", "y", "z"]))) == [("", ""), ("a", "x"), ("c", "z")]
