@@ -36,11 +36,13 @@ SPARED = 0.1
 ODD_CASE = -5.0
 #: A character in fewer than this share of all words starts without support in the character model.
 RARE = 1 / 2000
-#: Longest word (run without ASCII blanks) that is scored as one; longer ones are scored in pieces of this size.
+#: Longest word (run without ASCII blanks) that is undone as a whole only; chains are undone over the whole of longer
+#: ones too, and besides in pieces of this size, as only a part of such a run may be damaged.
 WORD = 400
 
 _BLANKS = re.compile(r"([ \t\r\n]+)")
 _ODD_CASE = re.compile("(?<=[a-zß-öø-ÿа-яё])[A-ZÀ-ÖØ-ÞА-ЯЁ]")
+_GONE = re.compile("(�+)")
 _LOST = re.compile("[�\u0080-\u0084\u0086-\u009f]")
 _UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf4][\x80-\xbf]{3}")
 
@@ -269,6 +271,11 @@ class CharModel:
         return p
 
 
+def _runs(word: str) -> list[str]:
+    """A word, or what lies between the lost characters of a long one, and at odd places those."""
+    return [word] if len(word) <= WORD else _GONE.split(word)
+
+
 def _pieces(word: str) -> list[str]:
     return [word] if len(word) <= WORD else [word[i : i + WORD] for i in range(0, len(word), WORD)]
 
@@ -310,10 +317,24 @@ class Judge:
         total = sum(weights)
         return [(c, w, x / total) for (c, w, _), x in zip(scored, weights, strict=True)]
 
+    def units(self, source: int, word: str) -> list[list[tuple[str, str, float]]]:
+        """word() of a word, or of the pieces of a long one that isn't damaged as a whole."""
+        whole = self.word(source, word)
+        if len(word) <= WORD or max(whole, key=lambda x: x[2])[0]:
+            return [whole]
+        return [self.word(source, p) for p in _pieces(word) if not p.isascii()]
+
     def record(self, source: int, text: str) -> tuple[str, float, str]:
         """(chain, posterior, text as written) of a record; chain '' with its posterior if it is undamaged."""
-        parts = _BLANKS.split(text)
-        words = [(i, piece) for i, p in enumerate(parts) if i % 2 == 0 and not p.isascii() for piece in _pieces(p)]
+        split = [(r, k % 2 == 0 and not r.isascii()) for p in _BLANKS.split(text) for k, r in enumerate(_runs(p))]
+        parts = [p for p, _ in split]
+        words: list[tuple[int, str]] = []
+        long: list[tuple[int, range]] = []  # a long run and the places of its pieces
+        for i, (p, judged) in enumerate(split):
+            if judged:
+                words += [(i, piece) for piece in _pieces(p)]
+                if len(p) > WORD:
+                    long.append((i, range(len(words) - len(_pieces(p)), len(words))))
         if not words:
             return "", 1.0, text
         opts = [self.options(w) for _, w in words]
@@ -325,9 +346,19 @@ class Judge:
             for chain, r, gain in gainful:
                 gains[chain] = gains.get(chain, 0.0) + gain
                 best.setdefault(chain, {})[i] = r
+        whole = sum(o[0] for o in opts)
+        # Pieces end inside multi-byte sequences: a chain that does better over the whole of a long run is undone there.
+        for i, places in long:
+            plain, undone, _ = self.options(parts[i])
+            whole += plain - sum(opts[k][0] for k in places)
+            least = plain + len(places) * math.log(SPARED) - math.log(1 - SPARED)
+            for chain, r, p in undone:
+                in_pieces = sum(g for k in places for c, _, g in opts[k][2] if c == chain)
+                if p - least > in_pieces:
+                    gains[chain] = gains.get(chain, 0.0) + p - least - in_pieces
+                    best.setdefault(chain, {}).update({k: "" for k in places} | {places[0]: r})
         if not best:
             return "", 1.0, text
-        whole = sum(o[0] for o in opts)
         base = whole + len(words) * math.log(SPARED)
         score = {"": math.log(self.freq(source, "")) + whole}
         for chain, gain in gains.items():
@@ -340,14 +371,19 @@ class Judge:
         # Chains that lead to the same text share its posterior.
         shared: dict[tuple, float] = {}
         for c, fixed in best.items():
-            key = tuple(fixed.items())
+            key = tuple(sorted(fixed.items()))
             shared[key] = shared.get(key, 0.0) + math.exp(max(-700.0, score[c] - most)) / norm
         outcome = max(shared, key=lambda o: (shared[o], o))
-        top = max((c for c, fixed in best.items() if tuple(fixed.items()) == outcome), key=lambda c: (score[c], c))
+        top = max((c for c, fixed in best.items() if tuple(sorted(fixed.items())) == outcome), key=lambda c: (score[c], c))
+        for i, places in long:  # damage of another kind in the same record
+            if not any(k in best[top] for k in places):
+                c, r, p = max(self.word(source, parts[i]), key=lambda x: x[2])
+                if c and p > 0.9:
+                    best[top].update({k: "" for k in places} | {places[0]: r})
         pieces: dict[int, str] = {}
         for k, (i, w) in enumerate(words):
             new = best[top].get(k, w)
-            if new == w:  # damage of another kind in the same record
+            if new == w:  # here too
                 c, r, p = max(self.word(source, w), key=lambda x: x[2])
                 new = r if c and p > 0.9 else w
             pieces[i] = pieces.get(i, "") + new
@@ -393,10 +429,18 @@ def fit(records: DataFrame, *, text: str, source: str | None = None, rounds: int
             table, chains = np.zeros(BUCKETS), {}
             for pdf in batches:
                 for source, word, n in zip(_source_bucket(pdf["source"]), pdf["word"], pdf["n"], strict=True):
-                    for piece in _pieces(word):
-                        if "�" in piece or (step == 0 and misread_utf8(piece)) or (first and first.doubtful(piece)):
+                    units = []
+                    for run in _runs(word):
+                        if "�" in run or run.isascii() or (step < 2 and len(run) > WORD and misread_utf8(run)):
+                            continue  # no long run is UTF-8 by chance
+                        if judge:
+                            units += judge.units(source, run)
                             continue
-                        for chain, written, p in judge.word(source, piece) if judge else [("", piece, 1.0)]:
+                        for piece in _pieces(run):
+                            if not ((step == 0 and misread_utf8(piece)) or (first and first.doubtful(piece))):
+                                units.append([("", piece, 1.0)])
+                    for unit in units:
+                        for chain, written, p in unit:
                             if p < 1e-4:
                                 continue
                             for one, two, three in CharModel.slots(written):

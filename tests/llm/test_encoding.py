@@ -72,3 +72,33 @@ def test_sources_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "Ã©tÃ©", None), (2, "été", "s"), (3, "été", "s")], "row_id bigint, txt string, src string")
     assert {r["row_id"] for r in E.repair(df, key="row_id", text="txt", source="src").collect()} == {1, 2, 3}
     assert E.repair(df.limit(0), key="row_id", text="txt").count() == 0
+
+
+HAN = "我们现在和父母一起住在城里，房租每年都在上涨，工资却没有变化。去年换了工作以后想搬到离公司近一点的地方，可是合适的房子很难找。朋友说再等一等，也许明年会便宜一些。孩子上学的事情也要考虑，附近没有好的学校。"
+
+
+@pytest.mark.parametrize("written, read", [("utf-8", "gb18030"), ("gb18030", "cp1252"), ("utf-8", "cp1251")])
+def test_long_texts_without_blanks(spark, written, read):
+    rng = random.Random(5)
+    clauses = [c for c in HAN.replace("。", "，").split("，") if c]
+    clause = lambda: rng.choice(clauses) + rng.choice(["，", "。", f"{rng.randint(1, 9)}，"])
+
+    def misread(text):
+        try:
+            return text.encode(written).decode(read)
+        except UnicodeError:
+            return "�"
+
+    seen = {i: "".join(clause() for _ in range(2 if i < 300 else 90)) for i in range(310)}
+    truth = {}
+    for i in range(1000, 1008):
+        text = ""
+        for _ in range(5000):
+            more = text + "".join(clause() for _ in range(rng.randint(1, 2)))
+            if len(text) < 480 + 20 * (i - 1000) and not E._LOST.search(misread(more)):
+                text = more
+        truth[i], seen[i] = text, misread(text)
+    assert all(len(seen[i]) > E.WORD for i in truth)
+    got = {r["row_id"]: r for r in E.repair(spark.createDataFrame(list(seen.items()), "row_id bigint, txt string"), key="row_id", text="txt").collect()}
+    assert {i for i, r in got.items() if r["damaged"]} == set(truth)
+    assert {i for i in truth if got[i]["repaired"] != truth[i]} == set()
