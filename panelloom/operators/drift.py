@@ -243,8 +243,11 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
     Each field of each file is matched with the layout's columns, by equal name first, else by the best matching over
     likeness of names and share of the field's values that the column has. A field that its own file can't settle
     follows the vote of its feed's other files, then of all files, for that name. What stays unmatched goes to extras.
-    Values are converted to the column's type, null if they can't be; one-element lists and labelled objects give
-    their text. layout is the reviewed mapping: its size is bounded by the width of one survey, so it is broadcast.
+    Values are converted to the column's type, null if they can't be. Lists give their first element (a family's lists
+    are joined), objects their name, label or column. What else a list or object holds fills a column that the row has
+    no value for: a key goes to the only column that has all its words, an element to the only other column that has it
+    as a value in layout. The rest, and values that can't be converted, are left in extras under the field's name.
+    layout is the reviewed mapping: its size is bounded by the width of one survey, so it is broadcast.
     """
     columns = [(f.name, f.dataType.simpleString()) for f in layout.schema.fields]
     names = [c for c, _ in columns]
@@ -282,21 +285,80 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
     rows = files.select("record_id", "feed", "file_id", F.try_parse_json("payload").alias("_v")).where(F.schema_of_variant("_v").startswith("OBJECT"))
     joined = rows.join(plan, ["feed", "file_id"], "left")
 
-    def value(c: str, kind: str) -> Column:
+    strings = [c for c, t in columns if t == "string"]
+    joined = joined.crossJoin(F.broadcast(layout.agg(*[F.collect_set(F.col(f"`{c}`")).alias(f"_in{names.index(c)}") for c in strings])))
+    entry = "array<struct<key:string,value:string,home:string>>"
+
+    def only(fits: list[tuple[str, Column]]) -> Column:
+        """The name beside the only condition that holds, null if none or several do."""
+        found = F.array_compact(F.array(*[F.when(fit, F.lit(c)) for c, fit in fits], F.lit(None).cast("string")))
+        return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
+
+    def words(key: Column) -> Column:
+        parts = F.split(F.lower(F.regexp_replace(key, "(?<=[a-z0-9])(?=[A-Z])", " ")), "[^a-z0-9]+")
+        return F.filter(parts, lambda t: t != "")
+
+    def key_home(key: Column) -> Column:
+        have = words(key)
+        return F.when(F.size(have) > 0, only([(c, F.size(F.array_except(have, F.array(*map(F.lit, sorted(name_tokens(c)))))) == 0) for c in names if name_tokens(c)]))
+
+    def converted(text: Column, kind: str) -> Column:
+        if kind == "string":
+            return text
+        if kind == "boolean":
+            return F.when(F.lower(text).isin("true", "1", "yes"), True).when(F.lower(text).isin("false", "0", "no"), False)
+        return text.try_cast("double").try_cast(kind)
+
+    for i, c in enumerate(names):
         v = F.try_variant_get(F.col("_v"), F.concat(F.lit("$['"), F.col("_plan")[c], F.lit("']")), "variant")
-        k = json_kind(v)
+        joined = joined.withColumn(f"_v{i}", v)
+    joined = joined.withColumns({f"_k{i}": json_kind(F.col(f"_v{i}")) for i in range(len(names))})
+    parts: dict[str, Column] = {}
+    for i, c in enumerate(names):
+        v, k = F.col(f"_v{i}"), F.col(f"_k{i}")
         listed = F.try_variant_get(v, "$", "array<string>")
-        as_text = (
-            F.when(k == "list", F.array_join(listed, "_") if c.endswith("family") else F.get(listed, F.lit(0)))
+        label = [F.when(F.try_variant_get(v, f"$.{x}", "string").isNotNull(), F.lit(x)) for x in ("name", "label", "column")]
+        whole_list = c.endswith("family")
+        parts[f"_t{i}"] = (
+            F.when(k == "list", F.array_join(listed, "_") if whole_list else F.get(listed, F.lit(0)))
             .when(k == "object", F.coalesce(*[F.try_variant_get(v, f"$.{x}", "string") for x in ("name", "label", "column")], F.to_json(v)))
             .otherwise(v.cast("string"))
         )
-        if kind == "string":
-            return as_text
-        if kind == "boolean":
-            return F.when(F.lower(as_text).isin("true", "1", "yes"), True).when(F.lower(as_text).isin("false", "0", "no"), False)
-        return as_text.try_cast("double").try_cast(kind)
+        held = F.map_entries(F.from_json(F.to_json(v), "map<string,string>"))
+        keys = F.transform(
+            F.filter(held, lambda e: F.coalesce(*label).isNotNull() & e["value"].isNotNull() & ~e["key"].eqNullSafe(F.coalesce(*label))),
+            lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), key_home(e["key"]).alias("home")),
+        )
+        more = F.transform(
+            F.filter(F.slice(listed, 2, 1 << 30), lambda e: e.isNotNull()),
+            lambda e: F.struct(F.lit(None).cast("string").alias("key"), e.alias("value"), only([(x, F.array_contains(F.col(f"_in{names.index(x)}"), e)) for x in strings if x != c]).alias("home")),
+        )
+        rest = F.when(k == "object", keys)
+        parts[f"_r{i}"] = F.coalesce(rest if whole_list else rest.when((k == "list") & (F.size(listed) > 1), more), F.array().cast(entry))
+    joined = joined.withColumns(parts).withColumn("_rest", F.concat(*[F.col(f"_r{i}") for i in range(len(names))]))
+    plain = {f"_o{i}": converted(F.col(f"_t{i}"), t) for i, (_, t) in enumerate(columns)}
+    joined = joined.withColumns(plain).withColumns(
+        {
+            f"_c{i}": F.coalesce(f"_o{i}", F.get(F.filter(F.transform(F.filter("_rest", lambda e: e["home"] == c), lambda e: converted(e["value"], t)), lambda x: x.isNotNull()), F.lit(0)))
+            for i, (c, t) in enumerate(columns)
+        }
+    )
 
+    def taken(e: Column) -> Column:
+        """Whether a column has what a list or object held besides its text."""
+        out = F.lit(False)
+        for i, (c, t) in enumerate(columns):
+            out = F.when(e["home"] == c, F.coalesce(converted(e["value"], t) == F.col(f"_c{i}"), F.lit(False))).otherwise(out)
+        return out
+
+    left: list[Column] = []
+    for i, c in enumerate(names):
+        v, k = F.col(f"_v{i}"), F.col(f"_k{i}")
+        stay = F.filter(F.col(f"_r{i}"), lambda e: ~taken(e))
+        some = F.when(F.size(stay) > 0, F.when(k == "object", F.to_json(F.map_from_entries(F.transform(stay, lambda e: F.struct(e["key"], e["value"]))))).otherwise(F.to_json(F.transform(stay, lambda e: e["value"]))))
+        lost = k.isNotNull() & F.col(f"_o{i}").isNull() & (F.to_json(v) != "[]")
+        left.append(F.struct(F.col("_plan")[c].alias("key"), F.when(lost, F.when(k.isin("list", "object"), F.to_json(v)).otherwise(v.cast("string"))).otherwise(some).alias("value")))
     used = F.coalesce(F.map_values("_plan"), F.array().cast("array<string>"))
-    extras = F.to_json(F.map_filter(F.from_json(F.to_json("_v"), "map<string,string>"), lambda k, _: ~F.array_contains(used, k)))
-    return joined.select("record_id", "feed", "file_id", *[value(c, t).alias(c) for c, t in columns], extras.alias("extras"))
+    spare = F.map_filter(F.from_json(F.to_json("_v"), "map<string,string>"), lambda k, _: ~F.array_contains(used, k))
+    extras = F.to_json(F.map_concat(spare, F.map_from_entries(F.filter(F.array(*left), lambda e: e["value"].isNotNull()))))
+    return joined.select("record_id", "feed", "file_id", *[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], extras.alias("extras"))

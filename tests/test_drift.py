@@ -65,3 +65,18 @@ def test_unify(spark):
     got = drift.unify(files(spark, ("a", 1, a), ("a", 2, b)), layout).orderBy("record_id").collect()
     assert [tuple(r)[3:] for r in got[6:8]] == [(0, "Q0", "high", True, '{"owner":"me"}'), (1, "Q1", "low", True, '{"owner":"me"}')]
     assert [r["name"] for r in got[:6]] == [f"Q{i}" for i in range(6)]
+
+
+def test_unify_keeps_the_rest_of_lists_and_objects(spark):
+    layout = spark.createDataFrame(
+        [(i, f"Q{i}", ["raw", "meta"][i % 2], ["high", "low", "none"][i % 3], f"because {i}") for i in range(12)], "idx int, followup_column string, column_family string, confidence string, reason string"
+    )
+    a = [{"idx": i, "followup_column": {"name": f"Q{i}", "family": ["raw", "meta"][i % 2]}, "reason": [f"because {i}", ["high", "low", "none"][i % 3]]} for i in range(6)]
+    b = [{"idx": i, "followup_column": f"Q{i}", "column_family": ["a", "b"], "confidence": {"label": "high", "score": 0.95}, "reason": ["because 1", "unheard of", "low"]} for i in range(6)]
+    c = [{"idx": "n/a", "followup_column": {"name": f"Q{i}", "family": "raw"}, "column_family": "meta", "confidence": "low", "reason": []} for i in range(6)]
+    got = [tuple(r)[3:] for r in drift.unify(files(spark, ("a", 1, a), ("a", 2, b), ("b", 1, c)), layout).orderBy("record_id").collect()]
+    assert got[1] == (1, "Q1", "meta", "low", "because 1", "{}")
+    assert got[6][:5] == (0, "Q0", "a_b", "high", "because 1")
+    assert {k: json.loads(v) for k, v in json.loads(got[6][5]).items()} == {"confidence": {"score": "0.95"}, "reason": ["unheard of", "low"]}
+    assert got[12][:5] == (None, "Q0", "meta", "low", None)
+    assert json.loads(got[12][5]) == {"idx": "n/a", "followup_column": '{"family":"raw"}'}
