@@ -30,6 +30,11 @@ UNIFY_AT = 0.35
 _KINDS = ("text", "integer", "decimal", "boolean", "list", "object")
 
 
+def _keyed(files: DataFrame) -> DataFrame:
+    """Files whose feeds can be joined by equality: "=" and the feed, '' for the null feed."""
+    return files.withColumn("feed", F.coalesce(F.concat(F.lit("="), F.col("feed")), F.lit("")))
+
+
 def json_kind(v: Column) -> Column:
     """text, integer, decimal, boolean, list or object of a variant; null for JSON null."""
     s = F.schema_of_variant(v)
@@ -88,7 +93,7 @@ def previous_files(files: DataFrame) -> DataFrame:
 
 
 def profiles(files: DataFrame) -> DataFrame:
-    """(feed, file_id, name, kind, rows, pairs, values): the profile of each field of each file.
+    """(feed, file_id, name, kind, rows, pairs, values): the profile of each field of each file; no feed is null.
 
     kind is that of most non-null values (ties: the first of text, integer, decimal, boolean, list, object), null if
     all are null. values sketches the field's values, pairs its values beside those of the file's row-identifying
@@ -142,17 +147,20 @@ def schema_changes(files: DataFrame) -> DataFrame:
     change_kind is renamed, added, removed or type_changed. A rename needs the same type and values that go on: the
     share of the smaller field's (row, value) pairs that the other has too, over the share of rows that both files have.
     Where no field identifies rows, the values alone are compared. A field that is all null has no type: it is never
-    type_changed or renamed. files: record_id, feed, file_id, exported_at, payload; null feeds form one feed; an empty
+    type_changed or renamed. A file of which no payload has a field has an empty schema. files: record_id, feed, file_id, exported_at, payload; null feeds form one feed; an empty
     table gives no rows; further columns are ignored.
     """
+    files = _keyed(files)
     prof = profiles(files)
     prev = previous_files(files)
     entry = F.struct("name", "kind", "pairs", "values")
     # One row per file; the list is bounded by the width of its schema.
     schemas = prof.groupBy("feed", "file_id").agg(F.collect_list(entry).alias("_fields"))
+    none = F.array().cast(schemas.schema["_fields"].dataType)
     both = (
-        prev.join(schemas.withColumnRenamed("_fields", "_new"), ["feed", "file_id"])
-        .join(schemas.select(F.col("feed"), F.col("file_id").alias("prev_file"), F.col("_fields").alias("_old")), ["feed", "prev_file"])
+        prev.join(schemas.withColumnRenamed("_fields", "_new"), ["feed", "file_id"], "left")
+        .join(schemas.select(F.col("feed"), F.col("file_id").alias("prev_file"), F.col("_fields").alias("_old")), ["feed", "prev_file"], "left")
+        .withColumns({"_new": F.coalesce("_new", none), "_old": F.coalesce("_old", none)})
         .withColumns({"_old_names": F.col("_old.name"), "_new_names": F.col("_new.name")})
         .withColumns(
             {
@@ -249,6 +257,7 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
     as a value in layout. The rest, and values that can't be converted, are left in extras under the field's name.
     layout is the reviewed mapping: its size is bounded by the width of one survey, so it is broadcast.
     """
+    files = _keyed(files)
     columns = [(f.name, f.dataType.simpleString()) for f in layout.schema.fields]
     names = [c for c, _ in columns]
     texts = [c for c, t in columns if t != "boolean"]  # the values of a boolean say nothing
@@ -361,4 +370,5 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
     used = F.coalesce(F.map_values("_plan"), F.array().cast("array<string>"))
     spare = F.map_filter(F.from_json(F.to_json("_v"), "map<string,string>"), lambda k, _: ~F.array_contains(used, k))
     extras = F.to_json(F.map_concat(spare, F.map_from_entries(F.filter(F.array(*left), lambda e: e["value"].isNotNull()))))
-    return joined.select("record_id", "feed", "file_id", *[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], extras.alias("extras"))
+    feed = F.when(F.col("feed") != "", F.expr("substring(feed, 2)"))
+    return joined.select("record_id", feed.alias("feed"), "file_id", *[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], extras.alias("extras"))

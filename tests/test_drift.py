@@ -80,3 +80,20 @@ def test_unify_keeps_the_rest_of_lists_and_objects(spark):
     assert {k: json.loads(v) for k, v in json.loads(got[6][5]).items()} == {"confidence": {"score": "0.95"}, "reason": ["unheard of", "low"]}
     assert got[12][:5] == (None, "Q0", "meta", "low", None)
     assert json.loads(got[12][5]) == {"idx": "n/a", "followup_column": '{"family":"raw"}'}
+
+
+def test_changes_of_null_feeds_and_of_files_without_fields(spark):
+    old, new = [base(i, conf=f"{i}c") for i in range(9)], [base(i, conf=f"{i}c", x=i) | {"q": f"{i}"} for i in range(9)]
+    names = ("conf", "flag", "name")
+    df = files(spark, (None, 1, old), (None, 2, new), ("a", 1, old), ("a", 2, ["{}", "broken"]), ("a", 3, old), ("b", 1, ["{}"]), ("b", 2, [None]))
+    want = [(2, "", "q", "added"), (2, "", "x", "added"), *[(4, n, "", "removed") for n in names], *[(5, "", n, "added") for n in names]]
+    assert rows(drift.schema_changes(df)) == sorted(want)
+    one = [base(i, was=f"v{i}", conf=f"{i}c") for i in range(9)]
+    two = [base(i, now=f"v{i}", conf=f"{i}c") for i in range(9)]
+    assert rows(drift.schema_changes(files(spark, (None, 1, one), (None, 2, two)))) == [(2, "was", "now", "renamed")]
+
+
+def test_unify_of_a_null_feed(spark):
+    layout = spark.createDataFrame([(i, f"Q{i}") for i in range(12)], "idx int, name string")
+    got = drift.unify(files(spark, (None, 1, [{"idx": 3, "name": "Q3"}])), layout).collect()
+    assert [tuple(r)[3:] for r in got] == [(3, "Q3", "{}")]
