@@ -43,7 +43,7 @@ BUCKETS, ORDERS, TEMPER = 1 << 17, (1, 2, 3, 4), 0.35
 #: The classifier is fitted on at most this many labelled documents a language, none longer than FIT_CHARS.
 FIT_DOCUMENTS, FIT_CHARS, FIT_ROUNDS = 400, 20_000, 2
 FIT_BLOCK = 50
-#: A language needs this many labelled documents to be known at all.
+#: The label of a document whose language has fewer labelled ones is tried against a model without the document.
 LEAST_DOCUMENTS = 3
 #: Records by which a source's habits are smoothed towards those of all sources.
 SMOOTH = 20.0
@@ -134,13 +134,18 @@ class Classifier:
 
     @classmethod
     def fit(cls, labelled: list[tuple[str, str]], rounds: int = FIT_ROUNDS) -> Classifier:
-        """From (language, text); wrong labels are corrected by what the other texts say, round by round."""
+        """From (language, text); wrong labels are corrected by what the other texts say, round by round.
+
+        A language that no text is left of isn't known.
+        """
         langs = sorted({x for x, _ in labelled})
         own = np.array([langs.index(x) for x, _ in labelled])
         # The n-grams lie in compact blocks, and only a block's worth of them is expanded at a time.
         blocks = []
         for i in range(0, len(labelled), FIT_BLOCK):
             blocks.append((i, grams([". ".join(sentences(t)) for _, t in labelled[i : i + FIT_BLOCK]])))
+        few = np.bincount(own, minlength=len(langs)) < LEAST_DOCUMENTS
+        first = own.copy()
         for _ in range(rounds + 1):
             counts = np.zeros(len(langs) * BUCKETS)
             for i, at, where in ((i, *pair) for i, orders in blocks for pair in orders):
@@ -152,7 +157,18 @@ class Classifier:
             for i, orders in blocks:
                 score = _sums(table, orders, min(FIT_BLOCK, len(labelled) - i))
                 part = own[i : i + FIT_BLOCK]
-                own[i : i + FIT_BLOCK] = np.where(score.any(1), score.argmax(1), part)
+                some = score.any(1)
+                score[:, few] = -np.inf
+                for k in np.flatnonzero(few[first[i : i + FIT_BLOCK]]):
+                    # A lone text always fits the model made of it: what it says itself is taken off. Other models of
+                    # few texts are mostly smoothing and take whatever is new, so texts only go to a language of many.
+                    mine, at = first[i + k], np.concatenate([a[w == k] for a, w in orders])
+                    rest = counts[mine] - (np.bincount(at, minlength=BUCKETS) if part[k] == mine else 0)
+                    score[k, mine] = np.log((rest[at] + 200.0 * shared[at] + 1e-3) / (rest.sum() + 200.0 + 1e-3 * BUCKETS)).sum()
+                own[i : i + FIT_BLOCK] = np.where(some, score.argmax(1), part)
+        left = np.flatnonzero(counts.sum(1) > 0)
+        if 0 < len(left) < len(langs):
+            return cls([langs[x] for x in left], table[:, left].copy())
         return cls(langs, table)
 
     def score(self, parts: list[str]) -> np.ndarray:
@@ -203,7 +219,7 @@ def evidence(documents: DataFrame) -> tuple[DataFrame, list[str]]:
     be many and one may hold a third of all documents: few enough to be broadcast by count, or joined by lookup.
     """
     total = {r["code"]: r["n"] for r in label_counts(documents, []).collect()}  # bounded by the codes
-    langs = sorted(x for x, n in total.items() if n >= LEAST_DOCUMENTS)
+    langs = sorted(total)
     docs = spread(documents.select("doc_id", "text", "lang", "source")).select("doc_id", "text", "lang", F.coalesce("source", F.lit("")).alias("source"), suffix(F.col("text")).alias("suffix"))
     # The counts read the table itself: they need no spreading, and no text but for the links' suffixes.
     held = documents.select("lang", F.coalesce("source", F.lit("")).alias("source"), suffix(F.col("text")).alias("suffix"))

@@ -79,3 +79,13 @@ def test_no_labels_and_no_rows(spark):
     df = spark.createDataFrame([(1, "Some words.", None, None)], "doc_id bigint, text string, lang string, source string")
     assert L.judge(df).first()["languages"] == [] and L.cases(df).count() == 0
     assert L.judge(df.limit(0)).count() == 0
+
+
+def test_languages_of_one_or_two_labels(spark, corpus):
+    swedish = ["De första raderna läses rätt, men därefter kommer inget mer fram.", "Ingen i vår grupp vet vem som skrev den här delen.", "Man måste stänga filen innan man byter namn på den."]
+    docs = [tuple(d[:4]) for d in corpus]
+    docs += [(9001, "Le prime righe vengono lette bene, poi non succede più nulla. Bisogna chiudere il file prima di rinominarlo. Nessuno sa chi ha scritto questa parte.", "it", "a")]
+    docs += [(9002, " ".join(swedish), "sv", "a"), (9003, " ".join(swedish[::-1]) + " I går fungerade det hos mig.", "Swedish", None)]
+    docs += [(9004, " ".join(TEXTS["en"][:4]), "fi", "a")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    assert [tuple(r) for r in L.cases(df).collect()] == [(9004, "en")]
