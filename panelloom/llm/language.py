@@ -40,7 +40,8 @@ _CODE = {name: words[0] for part in LANGUAGES.replace("\n", "|").split("|") if (
 
 #: Buckets of the n-gram table, orders of n-grams, and parts of the log-likelihood counted (n-grams overlap).
 BUCKETS, ORDERS, TEMPER = 1 << 17, (1, 2, 3, 4), 0.35
-#: The classifier is fitted on at most this many labelled documents a language, none longer than FIT_CHARS.
+#: The classifier is fitted on at most this many labelled documents a language; where texts of at most FIT_CHARS are too
+#: few, on the first sentences of longer ones too, as many as have that many characters.
 FIT_DOCUMENTS, FIT_CHARS, FIT_ROUNDS = 400, 20_000, 2
 FIT_BLOCK = 50
 #: The label of a document whose language has fewer labelled ones is tried against a model without the document.
@@ -139,7 +140,7 @@ class Classifier:
         A language that no text is left of isn't known.
         """
         langs = sorted({x for x, _ in labelled})
-        own = np.array([langs.index(x) for x, _ in labelled])
+        own = np.array([langs.index(x) for x, _ in labelled], dtype=np.int64)
         # The n-grams lie in compact blocks, and only a block's worth of them is expanded at a time.
         blocks = []
         for i in range(0, len(labelled), FIT_BLOCK):
@@ -230,8 +231,24 @@ def evidence(documents: DataFrame) -> tuple[DataFrame, list[str]]:
     return joined.select("doc_id", "text", language_code("lang").alias("code"), "own", "hosts"), langs
 
 
+def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts of more than FIT_CHARS characters cut to their first sentences."""
+    for pdf in batches:
+        texts = []
+        for text in pdf["text"]:
+            if len(text) > FIT_CHARS:
+                parts = sentences(text)
+                ends = np.cumsum([len(p) + 1 for p in parts])
+                text = "\n".join(parts[: int((ends <= FIT_CHARS).sum())] or [p[:FIT_CHARS] for p in parts[:1]])
+            texts.append(text)
+        yield pd.DataFrame({"code": pdf["code"], "text": texts})
+
+
 def fit(documents: DataFrame, langs: list[str], *, per_language: int = FIT_DOCUMENTS) -> Classifier:
-    """A classifier from at most per_language labelled documents a language, drawn evenly by a hash of their ids."""
+    """A classifier from at most per_language labelled documents a language, drawn evenly by a hash of their ids.
+
+    Long texts are only drawn where short ones are too few, and of each a bounded number of sentences.
+    """
     counts = {r["code"]: r["n"] for r in label_counts(documents, []).collect() if r["code"] in langs}
     u = (F.xxhash64("doc_id", F.lit(5)).cast("double") / F.lit(2.0**64)) + 0.5
     share = F.lit(0.0)
@@ -239,9 +256,9 @@ def fit(documents: DataFrame, langs: list[str], *, per_language: int = FIT_DOCUM
         share = F.when(F.col("code") == code, min(1.0, 1.5 * per_language / n)).otherwise(share)
     from pyspark.sql import Window
 
-    drawn = documents.select("doc_id", "text", language_code("lang").alias("code"), u.alias("u")).where((F.col("u") < share) & (F.length("text") > 0) & (F.length("text") <= FIT_CHARS))
-    rank = F.row_number().over(Window.partitionBy("code").orderBy("u", "doc_id"))
-    rows = drawn.withColumn("r", rank).where(F.col("r") <= per_language).select("code", "text").collect()
+    drawn = documents.select("doc_id", "text", language_code("lang").alias("code"), u.alias("u")).where((F.col("u") < share) & (F.length("text") > 0))
+    rank = F.row_number().over(Window.partitionBy("code").orderBy(F.length("text") > FIT_CHARS, "u", "doc_id"))
+    rows = drawn.withColumn("r", rank).where(F.col("r") <= per_language).select("code", "text").mapInPandas(_bounded, "code string, text string").collect()
     return Classifier.fit([(r["code"], r["text"]) for r in sorted(rows, key=lambda r: (r["code"], r["text"]))])
 
 
@@ -271,10 +288,10 @@ def judge(documents: DataFrame, *, per_language: int = FIT_DOCUMENTS) -> DataFra
     labelled; texts in a language that no label names get the nearest one, with its confidence.
     """
     known, langs = evidence(documents)
-    if not langs:
+    model = fit(documents, langs, per_language=per_language) if langs else None
+    if model is None or not model.langs:
         kind = "array<struct<lang:string,confidence:double,words:int,sentences:int>>"
         return documents.select("doc_id", language_code("lang").alias("declared"), F.array().cast(kind).alias("segments"), F.array().cast("array<struct<lang:string,confidence:double,words:int>>").alias("languages"))
-    model = fit(documents, langs, per_language=per_language)
     total = {r["code"]: r["n"] for r in label_counts(documents, []).collect()}
     base = np.array([total.get(x, 0) + 1.0 for x in model.langs])
     state = documents.sparkSession.sparkContext.broadcast((model.langs, model.table, base / base.sum()))

@@ -89,3 +89,13 @@ def test_languages_of_one_or_two_labels(spark, corpus):
     docs += [(9004, " ".join(TEXTS["en"][:4]), "fi", "a")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
     assert [tuple(r) for r in L.cases(df).collect()] == [(9004, "en")]
+
+
+def test_long_texts_only(spark):
+    long = lambda x, i: " ".join(random.Random(i).choices(TEXTS[x], k=2 * L.FIT_CHARS // 20))
+    docs = [(i, long(x, i), x, "a") for i, x in enumerate(["en", "fr", "de"] * 3)] + [(90, " ".join(TEXTS["fr"][:3]), None, None)]
+    assert all(len(t) > L.FIT_CHARS for _, t, _, _ in docs[:-1])
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    assert [tuple(r) for r in L.cases(df).collect()] == [(90, "fr")]
+    empty = spark.createDataFrame([(1, "", "en", "a"), (2, "Some words are here.", None, "a")], "doc_id bigint, text string, lang string, source string")
+    assert L.cases(empty).count() == 0
