@@ -17,7 +17,7 @@ VALUE_RULES = {
     "Q1": r"(?:0*[1-5](?:\.0+)?)?",
     "Progress": r"0*(?:100|[1-9]?[0-9])(?:\.0+)?",
 }
-_BLANK = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in UNICODE_SPACE) + "]*"
+_BLANK = "".join(f"\\x{{{ord(c):x}}}" for c in UNICODE_SPACE)
 #: Copies of each header, over which a file that holds a large share of the lines is spread.
 HEADER_COPIES = 16
 
@@ -27,9 +27,11 @@ def _any_field(sep: Column) -> Column:
     return F.concat(F.lit('(?:"(?:[^"]++|"")*+"|[^"'), sep, F.lit("]*+)"))
 
 
-def _typed_field(rule: str) -> str:
-    inner = _BLANK + rule + _BLANK
-    return f'(?:"{inner}"|{inner})'
+def _typed_field(rule: str, sep: Column) -> Column:
+    """A field whose value follows a rule; a separator that is a blank, as a tab, is none of an unquoted field's blanks."""
+    inner = f"[{_BLANK}]*{rule}[{_BLANK}]*"
+    bare = F.concat(F.lit(f"[{_BLANK}&&[^"), sep, F.lit("]]*"))
+    return F.concat(F.lit(f'(?:"{inner}"|'), bare, F.lit(rule), bare, F.lit(")"))
 
 
 def _join(parts: Column, sep: Column) -> Column:
@@ -47,7 +49,7 @@ def headers(lines: DataFrame) -> DataFrame:
     def typed(n: Column) -> Column:
         kind = _any_field(F.col("_sep"))
         for name, rule in VALUE_RULES.items():
-            kind = F.when(n == name, F.lit(_typed_field(rule))).otherwise(kind)
+            kind = F.when(n == name, _typed_field(rule, F.col("_sep"))).otherwise(kind)
         return kind
 
     out = out.withColumn("_typed", F.transform("_names", typed))

@@ -42,7 +42,10 @@ def test_reasons_in_their_order(spark):
 def test_separators_and_long_texts(spark):
     long = '"' + 'a""b' * 60_000 + '"'
     assert found(spark, f"{ID}|1|5|{long}", f"{ID}|1|5|{long}x", head="ResponseId|Q1|Progress|Note", sep="|") == [(2, "quoting", "Note")]
-    assert found(spark, f"{ID}\t1\t5\ta,b", head="ResponseId\tQ1\tProgress\tNote", sep="\t") == []
+    tabs = {"head": "ResponseId\tQ1\tProgress\tNote", "sep": "\t"}
+    assert found(spark, f"{ID}\t1\t5\ta,b", **tabs) == []
+    # A tab between fields is no blank of the field before or after it.
+    assert found(spark, f"{ID}\t1\t\t5\ta", f"{ID}\t\t\t5\ta", f" {ID} \t 1 \t5 \ta", f'{ID}\t"\t1\t"\t5\ta', **tabs) == [(1, "column_count", "Progress"), (2, "column_count", "Progress")]
 
 
 def test_file_without_header_and_empty_table(spark):
