@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import UNICODE_SPACE, strip
+from panelloom.plans.skew import checked_lookup
 
 #: Patterns of a field's value without outer blanks.
 VALUE_RULES = {
@@ -18,8 +19,6 @@ VALUE_RULES = {
     "Progress": r"0*(?:100|[1-9]?[0-9])(?:\.0+)?",
 }
 _BLANK = "".join(f"\\x{{{ord(c):x}}}" for c in UNICODE_SPACE)
-#: Copies of each header, over which a file that holds a large share of the lines is spread.
-HEADER_COPIES = 16
 
 
 def _any_field(sep: Column) -> Column:
@@ -38,12 +37,17 @@ def _join(parts: Column, sep: Column) -> Column:
     return F.call_function("array_join", parts, sep)
 
 
+def _file(lines: DataFrame) -> DataFrame:
+    """Lines with _file, which is never null: "=" and the file's name, '' for lines of no file."""
+    return lines.withColumn("_file", F.coalesce(F.concat(F.lit("="), F.col("file_name")), F.lit("")))
+
+
 def headers(lines: DataFrame) -> DataFrame:
-    """(file_name, _sep, _header, _names, _row, _prefixes): each file's header (line_no 1) and its patterns."""
-    first = lines.where("line_no = 1").groupBy("file_name").agg(F.min_by(F.struct("sep", "raw_line"), "record_id").alias("h"))
+    """(_file, _sep, _header, _names, _typed, _row): each file's header (line_no 1), its fields' patterns and its row's."""
+    first = _file(lines).where("line_no = 1").groupBy("_file").agg(F.min_by(F.struct("sep", "raw_line"), "record_id").alias("h"))
     sep = F.coalesce(F.nullif(F.col("h.sep"), F.lit("")), F.lit(","))
     bare = F.regexp_replace(F.coalesce("h.raw_line", F.lit("")), r"^(?:\x{feff}|ï»¿)", "")
-    out = first.select("file_name", F.regexp_replace(sep, r"([^A-Za-z0-9\s])", r"\\$1").alias("_sep"), bare.alias("_header"))
+    out = first.select("_file", F.regexp_replace(sep, r"([^A-Za-z0-9\s])", r"\\$1").alias("_sep"), bare.alias("_header"))
     out = out.withColumn("_names", F.transform(fields(F.col("_header"), F.col("_sep")), lambda x: strip(x, UNICODE_SPACE)))
 
     def typed(n: Column) -> Column:
@@ -53,15 +57,7 @@ def headers(lines: DataFrame) -> DataFrame:
         return kind
 
     out = out.withColumn("_typed", F.transform("_names", typed))
-    upto = lambda k: _join(F.slice("_typed", F.lit(1), k), F.col("_sep"))
-    return out.select(
-        "file_name",
-        "_sep",
-        "_header",
-        "_names",
-        F.concat(F.lit(r"\A"), _join(F.col("_typed"), F.col("_sep")), F.lit(r"\z")).alias("_row"),
-        F.transform(F.sequence(F.lit(1), F.size("_names")), lambda k: F.concat(F.lit(r"\A"), upto(k), F.lit("(?="), F.col("_sep"), F.lit(r"|\z)"))).alias("_prefixes"),
-    )
+    return out.withColumn("_row", F.concat(F.lit(r"\A"), _join(F.col("_typed"), F.col("_sep")), F.lit(r"\z")))
 
 
 def fields(line: Column, sep: Column) -> Column:
@@ -76,12 +72,15 @@ def examine(lines: DataFrame) -> DataFrame:
     reason is null for a valid line, else the first that applies of quoting, column_count and invalid_value;
     broken_field is the header's name of the first field that doesn't match ('' beyond the header's fields).
     is_data is false for headers (repeated ones too, however quoted), import-metadata lines, blank and null lines, which
-    have no reason. Lines of a file without a header are checked for quoting only. sep is one character, a comma if
-    null. An empty table gives no rows; further columns are ignored.
+    have no reason. Lines of a file without a header, and lines of no file, are checked for quoting only and have names
+    null. sep is one character, a comma if null. An empty table gives no rows; further columns are ignored.
+
+    Headers are broadcast if their number and size are proved small; else files that hold many lines get theirs by
+    broadcast and all others by a shuffle.
     """
-    head = headers(lines).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(HEADER_COPIES - 1))))
-    data = lines.select("record_id", "file_name", "line_no", "raw_line", "sep").withColumn("_copy", F.abs(F.xxhash64("record_id")) % HEADER_COPIES)
-    df = data.join(head, ["file_name", "_copy"], "left")
+    head = headers(lines)
+    data = _file(lines).select("record_id", "file_name", "line_no", "raw_line", "sep", "_file")
+    df = checked_lookup(data, head, ["_file"], size=F.octet_length("_row") * 2)
     raw, sep = F.col("raw_line"), F.coalesce("_sep", F.regexp_replace(F.coalesce(F.nullif("sep", F.lit("")), F.lit(",")), r"([^A-Za-z0-9\s])", r"\\$1"))
     one = _any_field(sep)
     # regexp_instr keeps the last compiled pattern, rlike compiles a non-constant one for each row.
@@ -105,7 +104,8 @@ def examine(lines: DataFrame) -> DataFrame:
         .otherwise("invalid_value")
     )
     df = df.withColumn("reason", reason)
-    first = F.get(F.filter(F.sequence(F.lit(1), F.size(names)), lambda k: ~matches(F.get("_prefixes", k - 1))), F.lit(0))
+    upto = lambda k: F.concat(F.lit(r"\A"), _join(F.slice("_typed", F.lit(1), k), F.col("_sep")), F.lit("(?="), F.col("_sep"), F.lit(r"|\z)"))
+    first = F.get(F.filter(F.sequence(F.lit(1), F.size(names)), lambda k: ~matches(upto(k))), F.lit(0))
     broken = F.when(F.col("reason").isNotNull(), F.coalesce(F.get(names, first - 1), F.lit("")))
     return df.select("record_id", "file_name", "line_no", "is_data", "reason", broken.alias("broken_field"), names.alias("names"), F.col("_fields").alias("fields"))
 
@@ -123,12 +123,16 @@ def loaded(lines: DataFrame, known: tuple[str, ...] = KNOWN) -> DataFrame:
     """The valid lines as responses: record_id, file_name, line_no, a text column for each known field and extras.
 
     A field that a file lacks is null; a header's further fields go to extras as a JSON text, sorted by name. Of two
-    fields with the same name the first counts. Column names are in lower case with blanks as underscores.
+    fields with the same name the first counts. Column names are in lower case with blanks as underscores. The fields of
+    a file without a header have numbers for names ("1", "2", ...), so all of them are in extras: every line is here, in
+    rejected, or no data.
     """
-    ok = examine(lines).where("is_data and reason is null and names is not null")
-    value = lambda n: F.get("fields", F.array_position("names", F.lit(n)).cast("int") - 1)
-    place = lambda n: F.when(F.array_position("names", F.lit(n)) > 0, strip(value(n), UNICODE_SPACE) if n in VALUE_RULES else value(n))
-    entries = F.array_sort(F.filter(F.arrays_zip("names", "fields"), lambda x: ~x["names"].isin(*known)))
-    extras = F.to_json(F.map_from_arrays(F.array_distinct(entries["names"]), F.transform(F.array_distinct(entries["names"]), lambda n: F.get("fields", F.array_position("names", n).cast("int") - 1))))
+    ok = examine(lines).where("is_data and reason is null")
+    numbers = F.transform("fields", lambda _, i: (i + 1).cast("string"))
+    ok = ok.withColumn("names", F.coalesce("names", numbers))
+    value = lambda n: F.get("fields", F.array_position("names", n).cast("int") - 1)
+    place = lambda n: F.when(F.array_position("names", F.lit(n)) > 0, strip(value(F.lit(n)), UNICODE_SPACE) if n in VALUE_RULES else value(F.lit(n)))
+    more = F.array_sort(F.array_except(F.array_distinct("names"), F.array(*map(F.lit, known))))
+    extras = F.to_json(F.map_from_arrays(more, F.transform(more, value)))
     slug = lambda n: n.lower().replace(" ", "_").replace("(", "").replace(")", "")
     return ok.select("record_id", "file_name", "line_no", *[place(n).alias(slug(n)) for n in known], extras.alias("extras"))

@@ -39,8 +39,13 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "l
     return cold.unionByName(warm)
 
 
-def checked_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", *, most: int = 20_000) -> DataFrame:
-    """lookup, but right is broadcast if a count proves that it has at most `most` rows, so that left isn't shuffled."""
-    if right.select(*keys).limit(most + 1).count() <= most:
+def checked_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", *, most: int = 20_000, size: Column | None = None, most_bytes: int = 32 << 20) -> DataFrame:
+    """lookup, but right is broadcast if a count proves it small, so that left isn't shuffled.
+
+    Small is at most `most` rows, and where `size` gives a row's bytes, at most `most_bytes` of them.
+    """
+    some = right.select(*keys) if size is None else right.select(size.cast("bigint").alias("_size"))
+    counted = some.limit(most + 1).agg(F.count(F.lit(1)), F.sum("_size") if size is not None else F.lit(0)).first()
+    if counted[0] <= most and (counted[1] or 0) <= most_bytes:
         return left.join(F.broadcast(right), list(keys), how)
     return lookup(left, right, keys, how)

@@ -51,6 +51,10 @@ def test_separators_and_long_texts(spark):
 def test_file_without_header_and_empty_table(spark):
     df = lines(spark, f"{ID},1,1,x", 'a"b').where("line_no > 1")
     assert rows(rejects.rejected(df)) == [(2, "quoting", "")]
+    assert rows(rejects.loaded(df).select("record_id", "responseid", "extras")) == [(1, None, f'{{"1":"{ID}","2":"1","3":"1","4":"x"}}')]
+    # Every line is loaded, rejected or no data, lines of no file too.
+    nowhere = df.unionByName(df.selectExpr("record_id + 10 as record_id", "null as file_name", "line_no", "sep", "raw_line", "loaded_at", "reason"))
+    assert (rejects.loaded(nowhere).count(), rejects.rejected(nowhere).count()) == (2, 2)
     assert rejects.rejected(df.limit(0)).count() == 0
 
 
