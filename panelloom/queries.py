@@ -88,6 +88,37 @@ judged as (select *, case when not quoted then 'quoting' when len(v) <> len(name
 """
 oracle("p2_found", _LINES + "select record_id, reason from judged where reason is not null")
 
+# A field's pattern by its header, and whether the first k fields match; the grammar of a field is unambiguous.
+_BREAKS = (
+    _LINES.rstrip()
+    + f""",
+_b as (select '[{UNICODE_SPACE}]*' as any_blank),
+pat as (select j.*, [case n when 'ResponseId' then '("' || bl || 'R_[A-Za-z0-9]{{15}}' || bl || '"|' || bo || 'R_[A-Za-z0-9]{{15}}' || bo || ')'
+    when 'Q1' then '("' || bl || '(0*[1-5](\\.0+)?)?' || bl || '"|' || bo || '(0*[1-5](\\.0+)?)?' || bo || ')'
+    when 'Progress' then '("' || bl || '0*(100|[1-9]?[0-9])(\\.0+)?' || bl || '"|' || bo || '0*(100|[1-9]?[0-9])(\\.0+)?' || bo || ')'
+    else '("([^"]|"")*"|[^"' || hs || ']*)' end for n in names] as typed
+  from (select *, any_blank as bl, replace(any_blank, hs, '') as bo from judged, _b) j where reason is not null)
+"""
+)
+oracle(
+    "p2_broken_field",
+    _BREAKS
+    + """select record_id, reason, coalesce(names[list_min([k for k in range(1, len(names) + 1)
+      if not regexp_matches(raw_line, '^' || list_reduce(typed[1:k], lambda a, b: a || hs || b) || '(' || hs || '|$)')])], '') as broken_field from pat""",
+)
+_SLUGS = {n: n.lower().replace(" ", "_").replace("(", "").replace(")", "") for n in ("ResponseId", "BrokerPanelId", "StartDate", "EndDate", "RecordedDate", "Status", "Progress", "Duration (in seconds)", "Finished", "Q1", "Q2", "Q9_6_TEXT")}
+oracle(
+    "p2_loaded",
+    _LINES.rstrip()
+    + f""",
+ok as (select j.*, file_name, [replace(case when x[1] = '"' then x[2:-2] else x end, '""', '"') for x in regexp_extract_all(hs || raw_line, hs || '("(?:[^"]|"")*"|[^"' || hs || ']*)', 1)] as f,
+    list_sort([n for n in list_distinct(names) if n not in ({', '.join(f"'{n}'" for n in _SLUGS)})]) as more
+  from judged j join (select record_id, file_name from followup_raw) using (record_id) where reason is null)
+select record_id, file_name, line_no, """
+    + ", ".join((f"trim(f[list_position(names, '{n}')], {SPACE_SQL})" if n in ("ResponseId", "Q1", "Progress") else f"f[list_position(names, '{n}')]") + f" as {slug}" for n, slug in _SLUGS.items())
+    + """, '{' || coalesce(array_to_string([to_json(n)::varchar || ':' || to_json(f[list_position(names, n)])::varchar for n in more], ','), '') || '}' as extras from ok""",
+)
+
 _REFS = f"""
 with m as (select *, nullif(lower(trim(psidbrokerid, {SPACE_SQL})), '') as ps, nullif(lower(trim(y2_hidbrokerpanelid, {SPACE_SQL})), '') as hid,
         coalesce(nullif(trim(psidbrokerid, {SPACE_SQL}), ''), nullif(trim(responseid, {SPACE_SQL}), ''), nullif(trim(y0_responseid, {SPACE_SQL}), ''),
