@@ -11,10 +11,12 @@ import re
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.plans.matching import best_matching
+from panelloom.plans.skew import checked_lookup
+from panelloom.session import shared_checkpoints
 
 #: log2 of a sketch's nominal entries: sketches of up to 4096 distinct entries are exact, larger ones estimate.
 SKETCH_BITS = 12
@@ -35,16 +37,15 @@ def _keyed(files: DataFrame) -> DataFrame:
     return files.withColumn("feed", F.coalesce(F.concat(F.lit("="), F.col("feed")), F.lit("")))
 
 
-def json_kind(v: Column) -> Column:
-    """text, integer, decimal, boolean, list or object of a variant; null for JSON null."""
-    s = F.schema_of_variant(v)
+def json_kind(shape: Column) -> Column:
+    """text, integer, decimal, boolean, list or object by the schema of a variant; null for JSON null."""
     return (
-        F.when(s == "STRING", "text")
-        .when(s == "BIGINT", "integer")
-        .when(s.rlike(r"^DECIMAL\(") | s.isin("DOUBLE", "FLOAT"), "decimal")
-        .when(s == "BOOLEAN", "boolean")
-        .when(s.startswith("ARRAY"), "list")
-        .when(s.startswith("OBJECT"), "object")
+        F.when(shape == "STRING", "text")
+        .when(shape == "BIGINT", "integer")
+        .when(shape.rlike(r"^DECIMAL\(") | shape.isin("DOUBLE", "FLOAT"), "decimal")
+        .when(shape == "BOOLEAN", "boolean")
+        .when(shape.startswith("ARRAY"), "list")
+        .when(shape.startswith("OBJECT"), "object")
     )
 
 
@@ -55,90 +56,89 @@ def _plain(v: Column, kind: Column) -> Column:
     return F.when((kind == "list") & alone & inner.isNotNull(), inner).when(kind.isin("list", "object"), F.to_json(v)).otherwise(v.cast("string"))
 
 
-def field_values(files: DataFrame, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per record and field: `keep`, name, kind (null for JSON null), plain text.
+def _object(payload: str = "payload") -> Column:
+    """A payload's fields as a map; null for a payload that is null, no JSON object or malformed. Any name will do."""
+    v = F.try_parse_json(payload)
+    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v.cast("map<string,variant>"))
 
-    A payload that is null, no JSON object or malformed has no fields. Names are compared exactly.
-    """
-    spark = files.sparkSession
-    parsed = files.select(*keep, F.try_parse_json(payload).alias("_v")).where(F.schema_of_variant("_v").startswith("OBJECT"))
-    fields = parsed.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(*keep, F.col("key").alias("name"), F.col("value").alias("_f"))
-    kind = json_kind(F.col("_f"))
-    return fields.select(*keep, "name", kind.alias("kind"), _plain(F.col("_f"), kind).alias("plain"))
+
+def _cells(records: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """keep, name and kind of each field of each record, and _f, its value; records have their fields in _m."""
+    fields = records.select(*keep, F.explode("_m").alias("name", "_f")).withColumn("_shape", F.schema_of_variant("_f"))
+    return fields.withColumn("kind", json_kind(F.col("_shape"))).drop("_shape")
 
 
-def previous_files(files: DataFrame) -> DataFrame:
-    """(feed, file_id, prev_file) of each file that isn't its feed's first, by exported_at, then file_id.
+def schemas(files: DataFrame) -> DataFrame:
+    """(feed, file_id, exported_at, fields) of each file: the name and kind of its fields; names are compared exactly.
 
-    A feed may hold a third of all files: neighbours are found within a day, and across days by the days' last files,
-    so no task sorts a whole feed.
+    kind is that of most non-null values (ties: the first of text, integer, decimal, boolean, list, object), null if
+    all are null. A file of which no payload has a field has an empty list, whose size is else the width of its schema.
     """
-    day = F.to_date("exported_at")
-    known = files.groupBy("feed", "file_id").agg(F.min("exported_at").alias("exported_at")).withColumn("_day", day)
-    pos = F.struct(F.col("exported_at"), F.col("file_id"))
-    from pyspark.sql import Window
+    parsed = files.select("feed", "file_id", "exported_at", F.explode_outer(_object()).alias("name", "_f")).withColumn("_shape", F.schema_of_variant("_f"))
+    kind = json_kind(F.col("_shape"))
+    counted = parsed.withColumn("_kind", kind).groupBy("feed", "file_id", "name").agg(F.min("exported_at").alias("_at"), *[F.count_if(F.col("_kind") == k).alias(f"_n_{k}") for k in _KINDS])
+    most = F.greatest(*[F.col(f"_n_{k}") for k in _KINDS])
+    kind = F.lit(None).cast("string")
+    for k in reversed(_KINDS):
+        kind = F.when((F.col(f"_n_{k}") == most) & (most > 0), k).otherwise(kind)
+    field = F.when(F.col("name").isNotNull(), F.struct("name", kind.alias("kind")))
+    return counted.groupBy("feed", "file_id").agg(F.min("_at").alias("exported_at"), F.collect_list(field).alias("fields"))
 
+
+def neighbours(known: DataFrame) -> DataFrame:
+    """(feed, file_id, new, prev_file, old) of each file that isn't its feed's first, by exported_at, then file_id.
+
+    known: schemas. A feed may hold a third of all files: neighbours are found within a day, and across days by the
+    days' last files, so no task sorts a whole feed.
+    """
+    file = F.struct("file_id", "fields")
+    days = known.withColumn("_day", F.to_date("exported_at"))
     inside = Window.partitionBy("feed", "_day").orderBy("exported_at", "file_id")
     across = Window.partitionBy("feed").orderBy("_day")
-    days = (
-        known.groupBy("feed", "_day")
-        .agg(F.max(pos).alias("_last"))
-        .withColumn("_before", F.lag(F.col("_last.file_id")).over(across))
-        .select("feed", F.col("_day").alias("_d"), "_before")
+    last = (
+        days.groupBy("feed", "_day")
+        .agg(F.max_by(file, F.struct("exported_at", "file_id")).alias("_last"))
+        .select("feed", F.col("_day").alias("_d"), F.lag("_last").over(across).alias("_before"))
+        .withColumnRenamed("feed", "_feed")
     )
-    near = known.withColumn("_near", F.lag("file_id").over(inside))
-    joined = near.join(days.withColumnRenamed("feed", "_feed"), (F.col("feed").eqNullSafe(F.col("_feed"))) & F.col("_day").eqNullSafe(F.col("_d")))
-    prev = F.coalesce("_near", "_before")
-    return joined.where(prev.isNotNull()).select("feed", "file_id", prev.alias("prev_file"))
+    near = days.withColumn("_near", F.lag(file).over(inside))
+    joined = near.join(last, (F.col("feed") == F.col("_feed")) & F.col("_day").eqNullSafe(F.col("_d")))
+    prev = joined.withColumn("_prev", F.coalesce("_near", "_before")).where("_prev is not null")
+    return prev.select("feed", "file_id", F.col("fields").alias("new"), F.col("_prev.file_id").alias("prev_file"), F.col("_prev.fields").alias("old"))
 
 
-def profiles(files: DataFrame) -> DataFrame:
-    """(feed, file_id, name, kind, rows, pairs, values): the profile of each field of each file; no feed is null.
+def sketched(files: DataFrame) -> DataFrame:
+    """(feed, file_id, name, pairs, values): value sketches of each field of each file; no feed is null.
 
-    kind is that of most non-null values (ties: the first of text, integer, decimal, boolean, list, object), null if
-    all are null. values sketches the field's values, pairs its values beside those of the file's row-identifying
-    fields; both merge map-side and are bounded in size.
+    values sketches the field's values, pairs its values beside those of the file's row-identifying fields; both merge
+    map-side and are bounded in size.
     """
-    cells = field_values(files, keep=("feed", "file_id", "record_id"))
-    filled = F.col("kind").isNotNull()
-    per_field = cells.groupBy("feed", "file_id", "name").agg(
-        *[F.count_if(F.col("kind") == k).alias(f"_n_{k}") for k in _KINDS],
-        F.approx_count_distinct(F.when(filled, F.col("plain")), 0.02).alias("_distinct"),
-        F.theta_sketch_agg(F.when(filled, F.col("plain")), SKETCH_BITS).alias("values"),
-        F.count_if(filled).alias("rows"),
-    )
-    most = F.greatest(*[F.col(f"_n_{k}") for k in _KINDS])
-    kind = F.lit(None).cast("string")
-    for k in reversed(_KINDS):
-        kind = F.when((F.col(f"_n_{k}") == most) & (most > 0), k).otherwise(kind)
-    per_field = per_field.withColumn("kind", kind)
-    sizes = files.groupBy("feed", "file_id").agg(F.approx_count_distinct("payload", 0.02).alias("_size"))
+    records = files.select("feed", "file_id", _object().alias("_m"), "payload")
+    cells = _cells(records, ("feed", "file_id")).where("kind is not null")
+    per_field = cells.groupBy("feed", "file_id", "name").agg(F.theta_sketch_agg(_plain(F.col("_f"), F.col("kind")), SKETCH_BITS).alias("values"), F.max(F.col("kind") != "boolean").alias("_any"))
+    sizes = files.groupBy("feed", "file_id").agg(F.theta_sketch_agg("payload", SKETCH_BITS).alias("_size"))
     # The list of a file's row-identifying fields is bounded by the width of its schema.
     anchors = (
         per_field.join(sizes, ["feed", "file_id"])
-        .where((F.col("_distinct") >= ANCHOR_SHARE * F.col("_size")) & ~F.coalesce(F.col("kind"), F.lit("")).isin("boolean"))
-        .groupBy("file_id", "feed")
+        .where(F.col("_any") & (F.theta_sketch_estimate("values") >= ANCHOR_SHARE * F.theta_sketch_estimate("_size")))
+        .groupBy("feed", "file_id")
         .agg(F.collect_set("name").alias("_anchors"))
     )
-    # The file's own record is read once more instead of joining cells with cells: a record's cells stay together.
-    record = (
-        files.select("feed", "file_id", F.try_parse_json("payload").alias("_v"))
-        .where(F.schema_of_variant("_v").startswith("OBJECT"))
-        .join(anchors, ["feed", "file_id"])
+    # The records are read once more instead of joining cells with cells: a record's cells stay together.
+    keyed = checked_lookup(records.drop("payload").where("_m is not null"), anchors, ["feed", "file_id"], "inner")
+    texts = F.transform(
+        F.filter(F.transform(F.map_entries("_m"), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("v"), json_kind(F.schema_of_variant(e["value"])).alias("kind"))), lambda e: e["kind"].isNotNull()),
+        lambda e: F.struct(e["name"].alias("name"), _plain(e["v"], e["kind"]).alias("plain")),
     )
-    spark = files.sparkSession
-    keyed = record.select("feed", "file_id", "_v", F.explode("_anchors").alias("_anchor"))
-    a = F.try_variant_get(F.col("_v"), F.concat(F.lit("$['"), F.col("_anchor"), F.lit("']")), "variant")
-    keyed = keyed.withColumn("_a", _plain(a, json_kind(a))).where("_a is not null")
+    keyed = keyed.select("feed", "file_id", "_anchors", texts.alias("_texts"))
+    keyed = keyed.select("feed", "file_id", "_texts", F.explode(F.filter("_texts", lambda e: F.array_contains("_anchors", e["name"]))).alias("_a"))
     pairs = (
-        keyed.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer()))
-        .select("feed", "file_id", F.col("key").alias("name"), "_anchor", "_a", F.col("value").alias("_f"))
-        .withColumn("_kind", json_kind(F.col("_f")))
-        .where("_kind is not null and name <> _anchor")
+        keyed.select("feed", "file_id", "_a", F.inline("_texts"))
+        .where("name <> _a.name")
         .groupBy("feed", "file_id", "name")
-        .agg(F.theta_sketch_agg(F.concat_ws("\u0001", "_a", _plain(F.col("_f"), F.col("_kind"))), SKETCH_BITS).alias("pairs"))
+        .agg(F.theta_sketch_agg(F.concat_ws("\u0001", "_a.plain", "plain"), SKETCH_BITS).alias("pairs"))
     )
-    return per_field.join(pairs, ["feed", "file_id", "name"], "left").select("feed", "file_id", "name", "kind", "rows", "pairs", "values")
+    return per_field.join(pairs, ["feed", "file_id", "name"], "left").select("feed", "file_id", "name", "pairs", "values")
 
 
 def schema_changes(files: DataFrame) -> DataFrame:
@@ -147,60 +147,55 @@ def schema_changes(files: DataFrame) -> DataFrame:
     change_kind is renamed, added, removed or type_changed. A rename needs the same type and values that go on: the
     share of the smaller field's (row, value) pairs that the other has too, over the share of rows that both files have.
     Where no field identifies rows, the values alone are compared. A field that is all null has no type: it is never
-    type_changed or renamed. A file of which no payload has a field has an empty schema. files: record_id, feed, file_id, exported_at, payload; null feeds form one feed; an empty
-    table gives no rows; further columns are ignored.
+    type_changed or renamed. A file of which no payload has a field has an empty schema. files: record_id, feed, file_id,
+    exported_at, payload; null feeds form one feed; names may hold any signs; an empty table gives no rows; further
+    columns are ignored.
+
+    Names and types are compared first; only files beside which a field went and another of its type came are sketched.
+    The pairs of files that differ (a row each, of two schemas) are checkpointed.
     """
+    shared_checkpoints(files.sparkSession)
     files = _keyed(files)
-    prof = profiles(files)
-    prev = previous_files(files)
-    entry = F.struct("name", "kind", "pairs", "values")
-    # One row per file; the list is bounded by the width of its schema.
-    schemas = prof.groupBy("feed", "file_id").agg(F.collect_list(entry).alias("_fields"))
-    none = F.array().cast(schemas.schema["_fields"].dataType)
-    both = (
-        prev.join(schemas.withColumnRenamed("_fields", "_new"), ["feed", "file_id"], "left")
-        .join(schemas.select(F.col("feed"), F.col("file_id").alias("prev_file"), F.col("_fields").alias("_old")), ["feed", "prev_file"], "left")
-        .withColumns({"_new": F.coalesce("_new", none), "_old": F.coalesce("_old", none)})
-        .withColumns({"_old_names": F.col("_old.name"), "_new_names": F.col("_new.name")})
-        .withColumns(
-            {
-                "_gone": F.filter("_old", lambda x: ~F.array_contains(F.col("_new_names"), x["name"])),
-                "_come": F.filter("_new", lambda x: ~F.array_contains(F.col("_old_names"), x["name"])),
-                "_kept": F.filter(
-                    F.transform("_old", lambda o: F.struct(o.alias("o"), F.get(F.filter("_new", lambda n: n["name"] == o["name"]), F.lit(0)).alias("n"))),
-                    lambda x: x["n"].isNotNull(),
-                ),
-            }
-        )
+    both = neighbours(schemas(files)).withColumns({"_old_names": F.col("old.name"), "_new_names": F.col("new.name")})
+    both = both.select(
+        "feed",
+        "file_id",
+        "prev_file",
+        F.filter("old", lambda x: ~F.array_contains("_new_names", x["name"])).alias("gone"),
+        F.filter("new", lambda x: ~F.array_contains("_old_names", x["name"])).alias("come"),
+        F.filter(
+            F.transform("old", lambda o: F.struct(o["name"].alias("name"), o["kind"].alias("was"), F.get(F.filter("new", lambda n: n["name"] == o["name"]), F.lit(0))["kind"].alias("kind"))),
+            lambda x: x["was"].isNotNull() & x["kind"].isNotNull(),
+        ).alias("kept"),
     )
-    both = both.withColumn(
-        "_typed", F.filter("_kept", lambda x: x["o"]["kind"].isNotNull() & x["n"]["kind"].isNotNull() & (x["o"]["kind"] != x["n"]["kind"]))
-    ).where((F.size("_gone") > 0) | (F.size("_come") > 0) | (F.size("_typed") > 0))
-    # How much of the smaller file's rows both files have, by the fields that kept name and type.
-    overlap = F.array_max(
-        F.transform(
-            F.filter("_kept", lambda x: (x["o"]["kind"] == x["n"]["kind"]) & x["o"]["pairs"].isNotNull() & x["n"]["pairs"].isNotNull()),
-            lambda x: _contained(x["o"]["pairs"], x["n"]["pairs"]),
-        )
+    typed = F.transform(F.filter("kept", lambda x: x["was"] != x["kind"]), lambda x: x["name"])
+    both = both.withColumn("typed", typed).where("size(gone) > 0 or size(come) > 0 or size(typed) > 0")
+    both = both.withColumn("doubt", F.arrays_overlap(F.filter("gone.kind", lambda k: k.isNotNull()), F.filter("come.kind", lambda k: k.isNotNull()))).checkpoint()
+    no_graph = F.lit(None).cast("array<struct<old:string,new:string,w:double>>").alias("graph")
+    certain = both.where("not doubt").select("file_id", F.col("gone.name").alias("gone"), F.col("come.name").alias("come"), "typed", no_graph)
+    doubtful = both.where("doubt")
+    needed = doubtful.select("feed", F.explode(F.array("file_id", "prev_file")).alias("file_id")).distinct()
+    some = checked_lookup(files, needed, ["feed", "file_id"], "left_semi")
+    # One row per file; the map is bounded by the width of its schema.
+    of_file = sketched(some).groupBy("feed", "file_id").agg(F.map_from_entries(F.collect_list(F.struct("name", F.struct("pairs", "values")))).alias("_at"))
+    seen = doubtful.join(of_file.withColumnRenamed("_at", "_new"), ["feed", "file_id"], "left").join(
+        of_file.select("feed", F.col("file_id").alias("prev_file"), F.col("_at").alias("_old")), ["feed", "prev_file"], "left"
     )
-    both = both.withColumn("_overlap", F.coalesce(overlap, F.lit(1.0)))
+    old, new = (lambda n: F.try_element_at("_old", n)), (lambda n: F.try_element_at("_new", n))
+    # How much of the smaller file's rows both files have, by the fields that kept name and type.
+    overlap = F.array_max(F.transform(F.filter("kept", lambda x: x["was"] == x["kind"]), lambda x: _contained(old(x["name"])["pairs"], new(x["name"])["pairs"])))
+    seen = seen.withColumn("_overlap", F.coalesce(overlap, F.lit(1.0)))
     graph = F.flatten(
         F.transform(
-            "_gone",
+            "gone",
             lambda o: F.transform(
-                F.filter("_come", lambda n: n["kind"] == o["kind"]),
-                lambda n: F.struct(o["name"].alias("old"), n["name"].alias("new"), _agreement(o, n, F.col("_overlap")).alias("w")),
+                F.filter("come", lambda n: n["kind"] == o["kind"]),
+                lambda n: F.struct(o["name"].alias("old"), n["name"].alias("new"), _agreement(old(o["name"]), new(n["name"]), F.col("_overlap")).alias("w")),
             ),
         )
     )
-    changed = both.select(
-        "file_id",
-        F.col("_gone.name").alias("gone"),
-        F.col("_come.name").alias("come"),
-        F.transform("_typed", lambda x: x["o"]["name"]).alias("typed"),
-        graph.alias("graph"),
-    )
-    return changed.mapInPandas(_decide, "file_id bigint, old_name string, new_name string, change_kind string")
+    seen = seen.withColumn("graph", graph).select("file_id", F.col("gone.name").alias("gone"), F.col("come.name").alias("come"), "typed", "graph")
+    return certain.unionByName(seen).mapInPandas(_decide, "file_id bigint, old_name string, new_name string, change_kind string")
 
 
 def _contained(a: Column, b: Column) -> Column:
@@ -257,12 +252,16 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
     as a value in layout. The rest, and values that can't be converted, are left in extras under the field's name.
     layout is the reviewed mapping: its size is bounded by the width of one survey, so it is broadcast.
     """
+    shared_checkpoints(files.sparkSession)
     files = _keyed(files)
     columns = [(f.name, f.dataType.simpleString()) for f in layout.schema.fields]
     names = [c for c, _ in columns]
     texts = [c for c, t in columns if t != "boolean"]  # the values of a boolean say nothing
     domain = layout.agg(*[F.theta_sketch_agg(F.col(f"`{c}`").cast("string"), SKETCH_BITS).alias(f"_d{i}") for i, c in enumerate(texts)])
-    prof = profiles(files)
+    cells = _cells(files.select("feed", "file_id", _object().alias("_m")), ("feed", "file_id"))
+    # A field under a column's own name needs no sketch.
+    other = F.when(F.col("kind").isNotNull() & ~F.col("name").isin(names), _plain(F.col("_f"), F.col("kind")))
+    prof = cells.groupBy("feed", "file_id", "name").agg(F.theta_sketch_agg(other, SKETCH_BITS).alias("values"))
     scored = prof.crossJoin(F.broadcast(domain))  # one row: the sketches of the layout's columns
     share = lambda c: F.when(F.theta_sketch_estimate("values") > 0, F.theta_sketch_estimate(F.theta_intersection("values", c)) / F.theta_sketch_estimate("values")).otherwise(0.0)
     scored = scored.select("feed", "file_id", "name", F.array(*[share(f"_d{i}") for i in range(len(texts))]).alias("shares"))
@@ -281,18 +280,18 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
                 out += [(feed, file_id, n, free[found[i]] if i in found else None, score[i][found[i]] if i in found else 0.0) for i, (n, _) in enumerate(rest)]
             yield pd.DataFrame(out, columns=["feed", "file_id", "name", "target", "score"])
 
-    own = per_file.mapInPandas(assign, "feed string, file_id bigint, name string, target string, score double")
+    # A row per file and field, read several times.
+    own = per_file.mapInPandas(assign, "feed string, file_id bigint, name string, target string, score double").checkpoint()
     vote = lambda *by: own.where("target is not null").groupBy(*by, "target").agg(F.sum("score").alias("s")).groupBy(*by).agg(F.max(F.struct("s", "target"))["target"].alias("_t" + str(len(by))))
     settled = (
-        own.join(vote("feed", "name"), ["feed", "name"], "left")
-        .join(vote("name"), ["name"], "left")
+        checked_lookup(checked_lookup(own, vote("feed", "name"), ["feed", "name"]), vote("name"), ["name"])
         .select("feed", "file_id", "name", F.when(F.col("name").isin(names), F.col("name")).otherwise(F.coalesce("_t2", "_t1", "target")).alias("target"), "score")
     )
     # Two fields of a file never share a column: the better one has it.
     best = settled.where("target is not null").groupBy("feed", "file_id", "target").agg(F.max(F.struct("score", "name"))["name"].alias("name"))
     plan = best.groupBy("feed", "file_id").agg(F.map_from_entries(F.collect_list(F.struct("target", "name"))).alias("_plan"))
-    rows = files.select("record_id", "feed", "file_id", F.try_parse_json("payload").alias("_v")).where(F.schema_of_variant("_v").startswith("OBJECT"))
-    joined = rows.join(plan, ["feed", "file_id"], "left")
+    rows = files.select("record_id", "feed", "file_id", _object().alias("_m")).where("_m is not null")
+    joined = checked_lookup(rows, plan, ["feed", "file_id"])
 
     strings = [c for c, t in columns if t == "string"]
     joined = joined.crossJoin(F.broadcast(layout.agg(*[F.collect_set(F.col(f"`{c}`")).alias(f"_in{names.index(c)}") for c in strings])))
@@ -319,9 +318,8 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
         return text.try_cast("double").try_cast(kind)
 
     for i, c in enumerate(names):
-        v = F.try_variant_get(F.col("_v"), F.concat(F.lit("$['"), F.col("_plan")[c], F.lit("']")), "variant")
-        joined = joined.withColumn(f"_v{i}", v)
-    joined = joined.withColumns({f"_k{i}": json_kind(F.col(f"_v{i}")) for i in range(len(names))})
+        joined = joined.withColumn(f"_v{i}", F.try_element_at("_m", F.col("_plan")[c]))
+    joined = joined.withColumns({f"_k{i}": json_kind(F.schema_of_variant(f"_v{i}")) for i in range(len(names))})
     parts: dict[str, Column] = {}
     for i, c in enumerate(names):
         v, k = F.col(f"_v{i}"), F.col(f"_k{i}")
@@ -368,7 +366,7 @@ def unify(files: DataFrame, layout: DataFrame) -> DataFrame:
         lost = k.isNotNull() & F.col(f"_o{i}").isNull() & (F.to_json(v) != "[]")
         left.append(F.struct(F.col("_plan")[c].alias("key"), F.when(lost, F.when(k.isin("list", "object"), F.to_json(v)).otherwise(v.cast("string"))).otherwise(some).alias("value")))
     used = F.coalesce(F.map_values("_plan"), F.array().cast("array<string>"))
-    spare = F.map_filter(F.from_json(F.to_json("_v"), "map<string,string>"), lambda k, _: ~F.array_contains(used, k))
+    spare = F.map_filter(F.from_json(F.to_json("_m"), "map<string,string>"), lambda k, _: ~F.array_contains(used, k))
     extras = F.to_json(F.map_concat(spare, F.map_from_entries(F.filter(F.array(*left), lambda e: e["value"].isNotNull()))))
     feed = F.when(F.col("feed") != "", F.expr("substring(feed, 2)"))
     return joined.select("record_id", feed.alias("feed"), "file_id", *[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], extras.alias("extras"))

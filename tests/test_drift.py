@@ -44,7 +44,8 @@ def test_order_feeds_and_days(spark):
     three = [base(i) for i in range(5)], [base(i, x=i) for i in range(5)], [base(i) for i in range(5)]
     df = files(spark, ("a", 3, three[2]), ("a", 1, three[0]), ("a", 2, three[1]), ("b", 1, three[1]), (None, 4, three[0]))
     assert rows(drift.schema_changes(df)) == [(1, "x", "", "removed"), (3, "", "x", "added")]
-    assert rows(drift.previous_files(df)) == [("a", 1, 3), ("a", 3, 2)]
+    near = drift.neighbours(drift.schemas(df.na.fill("", ["feed"])))
+    assert rows(near.select("feed", "file_id", "prev_file")) == [("a", 1, 3), ("a", 3, 2)]
 
 
 def test_integers_and_decimals_are_told_apart(spark):
@@ -97,3 +98,22 @@ def test_unify_of_a_null_feed(spark):
     layout = spark.createDataFrame([(i, f"Q{i}") for i in range(12)], "idx int, name string")
     got = drift.unify(files(spark, (None, 1, [{"idx": 3, "name": "Q3"}])), layout).collect()
     assert [tuple(r)[3:] for r in got] == [(3, "Q3", "{}")]
+
+
+def test_names_with_any_signs(spark):
+    odd = ("it's", "a.b", "x['y']", "$", "*", 'say "x"', "")
+    one = [{n: f"{k}-{i}" for k, n in enumerate(odd)} | {"old's": f"v{i}"} for i in range(9)]
+    two = [{n: f"{k}-{i}" for k, n in enumerate(odd)} | {"new.[0]": f"v{i}"} for i in range(9)]
+    df = files(spark, ("a", 1, one), ("a", 2, two))
+    assert rows(drift.schema_changes(df)) == [(2, "old's", "new.[0]", "renamed")]
+    layout = spark.createDataFrame([(f"0-{i}", f"v{i}") for i in range(9)], "`it's` string, other string")
+    got = [r.asDict() for r in drift.unify(df, layout).where("file_id = 2").collect()]
+    assert {(r["it's"], r["other"]) for r in got} == {(f"0-{i}", f"v{i}") for i in range(9)}
+    assert set(json.loads(got[0]["extras"])) == set(odd) - {"it's"}
+
+
+def test_renames_of_long_files(spark):
+    """Beyond 4,096 rows the sketches estimate: a rename is found, a field of other values isn't taken for one."""
+    one = [{"key": f"k{i}", "n": i % 7, "a": f"a{i * 7919 % 5000}", "b": f"b{i % 50}"} for i in range(10_000)]
+    two = [{"key": f"k{i}", "n": i % 7, "aa": f"a{i * 7919 % 5000}", "c": f"b{(i // 3) % 50}"} for i in range(500, 10_500)]
+    assert rows(drift.schema_changes(files(spark, ("a", 1, one), ("a", 2, two)))) == [(2, "", "c", "added"), (2, "a", "aa", "renamed"), (2, "b", "", "removed")]
