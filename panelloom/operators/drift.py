@@ -23,7 +23,7 @@ SKETCH_BITS = 12
 #: A field whose distinct values number at least this share of its file's distinct rows can identify rows.
 ANCHOR_SHARE = 0.75
 #: Least agreement of values, after allowing for rows that came or went, that makes a rename.
-RENAME_AT = 0.6
+RENAME_AT = 0.5
 #: Weight of the names' likeness beside the values' agreement when several renames compete.
 NAME_WEIGHT = 0.02
 #: Least score of a field of a file against a column of the unified layout.
@@ -107,15 +107,33 @@ def neighbours(known: DataFrame) -> DataFrame:
     return prev.select("feed", "file_id", F.col("fields").alias("new"), F.col("_prev.file_id").alias("prev_file"), F.col("_prev.fields").alias("old"))
 
 
+def _texts(m: Column) -> Column:
+    """(name, part, kind, plain) of a record's fields that aren't null, and as parts the scalars in its objects and lists.
+
+    A part's name is the field's and its own. Parts only identify rows: a key that moves into an object stays known.
+    """
+    kind = lambda v: json_kind(F.schema_of_variant(v))
+    cell = lambda name, part, v: F.struct(name.alias("name"), F.lit(part).alias("part"), kind(v).alias("kind"), v.alias("v"))
+    fields = F.transform(F.map_entries(m), lambda e: cell(e["key"], False, e["value"]))
+    none = F.array().cast("array<struct<name:string,part:boolean,kind:string,v:variant>>")
+    inside = F.transform(
+        fields,
+        lambda f: F.when(f["kind"] == "object", F.transform(F.map_entries(f["v"].cast("map<string,variant>")), lambda e: cell(F.concat(f["name"], F.lit("\u0001"), e["key"]), True, e["value"])))
+        .when(f["kind"] == "list", F.transform(f["v"].cast("array<variant>"), lambda x, i: cell(F.concat(f["name"], F.lit("\u0001"), i.cast("string")), True, x)))
+        .otherwise(none),
+    )
+    some = F.filter(F.concat(fields, F.flatten(inside)), lambda f: f["kind"].isNotNull() & ~(f["part"] & f["kind"].isin("list", "object")))
+    return F.transform(some, lambda f: F.struct(f["name"].alias("name"), f["part"].alias("part"), f["kind"].alias("kind"), _plain(f["v"], f["kind"]).alias("plain")))
+
+
 def sketched(files: DataFrame) -> DataFrame:
     """(feed, file_id, name, pairs, values): value sketches of each field of each file; no feed is null.
 
-    values sketches the field's values, pairs its values beside those of the file's row-identifying fields; both merge
-    map-side and are bounded in size.
+    values sketches the field's values, pairs its values beside those of the file's row-identifying fields and parts of
+    fields; both merge map-side and are bounded in size.
     """
-    records = files.select("feed", "file_id", _object().alias("_m"), "payload")
-    cells = _cells(records, ("feed", "file_id")).where("kind is not null")
-    per_field = cells.groupBy("feed", "file_id", "name").agg(F.theta_sketch_agg(_plain(F.col("_f"), F.col("kind")), SKETCH_BITS).alias("values"), F.max(F.col("kind") != "boolean").alias("_any"))
+    records = files.select("feed", "file_id", "payload", _object().alias("_m")).where("_m is not null").select("feed", "file_id", "payload", _texts(F.col("_m")).alias("_texts"))
+    per_field = records.select("feed", "file_id", F.inline("_texts")).groupBy("feed", "file_id", "name", "part").agg(F.theta_sketch_agg("plain", SKETCH_BITS).alias("values"), F.max(F.col("kind") != "boolean").alias("_any"))
     sizes = files.groupBy("feed", "file_id").agg(F.theta_sketch_agg("payload", SKETCH_BITS).alias("_size"))
     # The list of a file's row-identifying fields is bounded by the width of its schema.
     anchors = (
@@ -125,20 +143,15 @@ def sketched(files: DataFrame) -> DataFrame:
         .agg(F.collect_set("name").alias("_anchors"))
     )
     # The records are read once more instead of joining cells with cells: a record's cells stay together.
-    keyed = checked_lookup(records.drop("payload").where("_m is not null"), anchors, ["feed", "file_id"], "inner")
-    texts = F.transform(
-        F.filter(F.transform(F.map_entries("_m"), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("v"), json_kind(F.schema_of_variant(e["value"])).alias("kind"))), lambda e: e["kind"].isNotNull()),
-        lambda e: F.struct(e["name"].alias("name"), _plain(e["v"], e["kind"]).alias("plain")),
-    )
-    keyed = keyed.select("feed", "file_id", "_anchors", texts.alias("_texts"))
+    keyed = checked_lookup(records.drop("payload"), anchors, ["feed", "file_id"], "inner")
     keyed = keyed.select("feed", "file_id", "_texts", F.explode(F.filter("_texts", lambda e: F.array_contains("_anchors", e["name"]))).alias("_a"))
     pairs = (
-        keyed.select("feed", "file_id", "_a", F.inline("_texts"))
-        .where("name <> _a.name")
+        keyed.select("feed", "file_id", F.col("_a.name").alias("_an"), F.col("_a.plain").alias("_ap"), F.inline("_texts"))
+        .where("not part and name <> _an")
         .groupBy("feed", "file_id", "name")
-        .agg(F.theta_sketch_agg(F.concat_ws("\u0001", "_a.plain", "plain"), SKETCH_BITS).alias("pairs"))
+        .agg(F.theta_sketch_agg(F.concat_ws("\u0001", "_ap", "plain"), SKETCH_BITS).alias("pairs"))
     )
-    return per_field.join(pairs, ["feed", "file_id", "name"], "left").select("feed", "file_id", "name", "pairs", "values")
+    return per_field.where("not part").join(pairs, ["feed", "file_id", "name"], "left").select("feed", "file_id", "name", "pairs", "values")
 
 
 def schema_changes(files: DataFrame) -> DataFrame:
@@ -146,7 +159,7 @@ def schema_changes(files: DataFrame) -> DataFrame:
 
     change_kind is renamed, added, removed or type_changed. A rename needs the same type and values that go on: the
     share of the smaller field's (row, value) pairs that the other has too, over the share of rows that both files have.
-    Where no field identifies rows, the values alone are compared. A field that is all null has no type: it is never
+    Where no field identifies rows of both files, the values alone are compared. A field that is all null has no type: it is never
     type_changed or renamed. A file of which no payload has a field has an empty schema. files: record_id, feed, file_id,
     exported_at, payload; null feeds form one feed; names may hold any signs; an empty table gives no rows; further
     columns are ignored.
@@ -204,7 +217,7 @@ def _contained(a: Column, b: Column) -> Column:
 
 
 def _agreement(o: Column, n: Column, overlap: Column) -> Column:
-    paired = F.when(o["pairs"].isNotNull() & n["pairs"].isNotNull(), F.least(F.lit(1.0), _contained(o["pairs"], n["pairs"]) / F.greatest(overlap, F.lit(0.2))))
+    paired = F.when(o["pairs"].isNotNull() & n["pairs"].isNotNull() & (overlap > 0), F.least(F.lit(1.0), _contained(o["pairs"], n["pairs"]) / F.greatest(overlap, F.lit(0.2))))
     return F.coalesce(paired, _contained(o["values"], n["values"]))
 
 

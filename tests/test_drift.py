@@ -117,3 +117,13 @@ def test_renames_of_long_files(spark):
     one = [{"key": f"k{i}", "n": i % 7, "a": f"a{i * 7919 % 5000}", "b": f"b{i % 50}"} for i in range(10_000)]
     two = [{"key": f"k{i}", "n": i % 7, "aa": f"a{i * 7919 % 5000}", "c": f"b{(i // 3) % 50}"} for i in range(500, 10_500)]
     assert rows(drift.schema_changes(files(spark, ("a", 1, one), ("a", 2, two)))) == [(2, "", "c", "added"), (2, "a", "aa", "renamed"), (2, "b", "", "removed")]
+
+
+def test_renames_beside_keys_that_change_their_form(spark):
+    """All fields that identify rows become objects or lists; their parts still identify rows."""
+    one = [{"key": f"k{i}", "flag": i % 3 == 0, "conf": ["high", "low", "none"][i % 3], "level": ["low", "none", "high"][i // 4]} for i in range(12)]
+    two = [{"key": {"id": f"k{i}", "kind": "q"}, "flag": i % 3 == 0, "certainty": ["high", "low", "none"][i % 3], "grade": ["low", "none", "high"][i // 4]} for i in range(12)]
+    changes = [(2, "conf", "certainty", "renamed"), (2, "key", "key", "type_changed"), (2, "level", "grade", "renamed")]
+    assert rows(drift.schema_changes(files(spark, ("a", 1, one), ("a", 2, two)))) == changes
+    listed = [r | {"key": [f"k{i}", "q"]} for i, r in enumerate(two)]
+    assert rows(drift.schema_changes(files(spark, ("a", 1, one), ("a", 2, listed)))) == changes
