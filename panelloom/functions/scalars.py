@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 from decimal import Decimal, InvalidOperation
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The characters of Unicode's White_Space property.
 UNICODE_SPACE = "".join(map(chr, [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
@@ -85,16 +84,42 @@ def normal_code(value: str | None) -> str:
     return plain.rstrip("0").rstrip(".") if "." in plain else plain
 
 
-@F.pandas_udf(T.StringType())
-def _normal_code(s: pd.Series) -> pd.Series:
-    return s.map(normal_code)
+# Decimal digits of all scripts beyond ASCII, by rule, and their values.
+_DIGITS = [c for c in map(chr, range(128, 0x20000)) if unicodedata.decimal(c, None) is not None]
+_DIGIT_VALUES = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
 
 
 def cluster_code(c: Column | str) -> Column:
-    """normal_code as a column: the usual spellings of whole numbers in the JVM, the rest by exact decimals."""
+    """normal_code as a column, by text operations in the JVM.
+
+    Numbers of more than 28 digits keep them all, where normal_code rounds; exponents of more than four digits make no number.
+    """
     s = text(c)
-    whole = F.regexp_extract(s, r"^[+]?0*([0-9]+)(?:\.0*)?$", 1)
-    return F.when(s.rlike(r"^[+]?[0-9]{1,18}(\.0*)?$"), whole).when(s == "", "").otherwise(_normal_code(s))
+    ascii_digits = F.when(s.rlike(r"^[\x00-\x7F]*$"), s).otherwise(F.translate(s, "".join(_DIGITS), _DIGIT_VALUES))
+    plain = F.replace(ascii_digits, F.lit("_"), F.lit(""))
+    part = lambda i: F.regexp_extract(plain, r"^([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,4}))?$", i)
+    sign = F.when(part(1) == "-", "-").otherwise("")
+    digits = F.concat(part(2), part(3))
+    # The point's place among the digits, counted after leading zeros go.
+    short = F.ltrim(digits, F.lit("0"))
+    point = F.length(part(2)) + F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0)) - (F.length(digits) - F.length(short))
+    held = F.rtrim(short, F.lit("0"))
+    size = F.length(held)
+    number = (
+        F.when(held == "", "0")
+        .when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), held))
+        .when(point >= size, F.concat(held, F.repeat(F.lit("0"), point - size)))
+        .otherwise(F.concat(F.substr(held, F.lit(1), point), F.lit("."), F.substr(held, point + 1)))
+    )
+    quiet = F.regexp_extract(plain, r"(?i)^[+-]?(s?)nan([0-9]*)$", 1)
+    nan = F.concat(F.when(plain.startswith("-"), "-").otherwise(""), F.lower(quiet), F.lit("NaN"), F.ltrim(F.regexp_extract(plain, r"([0-9]*)$", 1), F.lit("0")))
+    return (
+        F.when(s.rlike(r"^[+]?[1-9][0-9]{0,17}(\.0*)?$"), F.regexp_extract(s, r"^[+]?([0-9]+)", 1))
+        .when(plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,4})?$"), F.concat(sign, number))
+        .when(plain.rlike(INFINITE), F.concat(F.when(plain.startswith("-"), "-").otherwise(""), F.lit("Infinity")))
+        .when(plain.rlike(r"(?i)^[+-]?s?nan[0-9]*$"), nan)
+        .otherwise(s)
+    )
 
 
 def squashed_name(c: Column | str) -> Column:

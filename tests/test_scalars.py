@@ -18,6 +18,14 @@ def test_codes(spark, raw, plain):
     assert df.select(S.cluster_code("c")).first()[0] == plain
 
 
+def test_codes_in_the_jvm_equal_exact_decimals(spark):
+    given = [sign + n + e for sign in ("", "+", "-") for n in ("0", "7", "007", "70", "0.5", ".50", "5.", "12.340", "0.0", "1_0", "٣", "٣.٥٠") for e in ("", "e0", "E+2", "e-1", "e-7", "e12")]
+    given += ["nan", "-NaN", "sNaN7", "NaN007", "inf", "+Infinity", "-inf", "e5", ".", "+", "-", "1e", "1.2.3", "1 2", "0x1", "12a", "_", "1" * 25 + ".0"]
+    df = spark.createDataFrame([(x,) for x in given], "c string").select("c", S.cluster_code("c"))
+    assert [(c, got) for c, got in df.collect() if got != S.normal_code(c)] == []
+    assert "Python" not in df._jdf.queryExecution().toString()
+
+
 def test_numbers(spark):
     given = ["1", " 2.5 ", "-3e2", ".5", "5.", "1d", "1f", "1e400", "nan", "inf", "-Infinity", "1_000", "", " 7　", None, "x"]
     df = spark.createDataFrame(list(enumerate(given)), "i int, c string").select("i", S.to_number("c"))
