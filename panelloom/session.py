@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,9 +36,16 @@ def case_sensitive(spark: SparkSession) -> None:
 def shared_checkpoints(spark: SparkSession) -> None:
     """Make checkpoint() usable: the folder named by the cluster in spark.checkpoint.dir, where that is set.
 
-    Only a session without one (local tests) gets a temporary folder.
+    Only a local session without one (tests) gets a temporary folder, which goes with the process; on a cluster a
+    machine's own folder would lose its part with the machine, so there its absence is an error.
     """
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="panelloom-checkpoint-"))
+    if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("A cluster needs spark.checkpoint.dir, a folder that all its machines share.")
+        named = tempfile.mkdtemp(prefix="panelloom-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    context.setCheckpointDir(named)
