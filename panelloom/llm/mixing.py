@@ -7,88 +7,113 @@ only where a quota needs it. The flow's amounts are then cut from each pattern's
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import itertools
+from collections import deque
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.llm.tokens import TOKENIZERS, VOCABULARY, token_counts
+from panelloom.plans.skew import checked_lookup
 from panelloom.session import shared_checkpoints
 
 #: Buckets of the seeded order per pattern: positions are exact, and no task sees more than a bucket of a pattern.
 BUCKETS = 1 << 14
-#: Most membership patterns (sets of sources) that the flow is solved for; beyond it the targets are unworkable.
-MOST_PATTERNS = 20_000
-
-
-@dataclass
-class _Edge:
-    to: int
-    room: int
-    cost: int
-    back: int
-
-
-class Flow:
-    """Min-cost max-flow by successive shortest paths on a small graph of whole tokens."""
-
-    def __init__(self, nodes: int):
-        self.edges: list[list[_Edge]] = [[] for _ in range(nodes)]
-
-    def join(self, a: int, b: int, room: int, cost: int) -> _Edge:
-        forward = _Edge(b, room, cost, len(self.edges[b]))
-        self.edges[a].append(forward)
-        self.edges[b].append(_Edge(a, 0, -cost, len(self.edges[a]) - 1))
-        return forward
-
-    def run(self, source: int, sink: int) -> None:
-        from collections import deque
-
-        while True:
-            cost: dict[int, int] = {source: 0}
-            via: dict[int, tuple[int, _Edge]] = {}
-            queue, waiting = deque([source]), {source}
-            while queue:
-                a = queue.popleft()
-                waiting.discard(a)
-                for e in self.edges[a]:
-                    if e.room > 0 and cost[a] + e.cost < cost.get(e.to, 1 << 62):
-                        cost[e.to], via[e.to] = cost[a] + e.cost, (a, e)
-                        if e.to not in waiting:
-                            waiting.add(e.to)
-                            queue.append(e.to)
-            if sink not in cost:
-                return
-            path, at = [], sink
-            while at != source:
-                at, e = via[at]
-                path.append(e)
-            most = min(e.room for e in path)
-            for e in path:
-                e.room -= most
-                self.edges[e.to][e.back].room += most
+
+
+def _first(amounts: np.ndarray, most: int) -> np.ndarray:
+    """The amounts from the first on, up to `most` in all."""
+    before = np.cumsum(amounts) - amounts
+    return np.clip(most - before, 0, amounts)
+
+
+class Routes:
+    """Flow from uses of patterns to sources: a row per use of a pattern, a column per source, whole tokens.
+
+    Only the sources are nodes of the residual graph: a step from one to another moves tokens that came from any rows
+    that both admit, so its room is one sum over the rows, and a search costs the square of the number of sources,
+    however many patterns there are.
+    """
+
+    def __init__(self, quotas: list[int]):
+        n = len(quotas)
+        self.spare = np.array(quotas, dtype=np.int64)
+        self.admits, self.flow = np.zeros((0, n), dtype=bool), np.zeros((0, n), dtype=np.int64)
+        self.room = np.zeros((n, n), dtype=np.int64)
+
+    def offer(self, admits: np.ndarray, tokens: np.ndarray) -> None:
+        """Send what can be sent of further rows' tokens; earlier rows keep their totals."""
+        begin = len(self.admits)
+        self.admits = np.concatenate([self.admits, admits])
+        self.flow = np.concatenate([self.flow, np.zeros(admits.shape, dtype=np.int64)])
+        left = tokens.astype(np.int64)
+        while (path := self._path(left, admits)) is not None:
+            steps = list(itertools.pairwise(path))
+            open_rows = left * admits[:, path[0]]
+            most = int(min([open_rows.sum(), self.spare[path[-1]], *(self.room[a, b] for a, b in steps)]))
+            for a, b in steps:
+                self._move(slice(None), a, b, _first(self.flow[:, a] * self.admits[:, b], most))
+            taken = _first(open_rows, most)
+            left -= taken
+            self.flow[begin:, path[0]] += taken
+            self.room[path[0]] += taken @ admits
+            self.spare[path[-1]] -= most
+
+    def _move(self, rows: slice, a: int, b: int, amount: np.ndarray) -> None:
+        self.flow[rows, a] -= amount
+        self.flow[rows, b] += amount
+        change = amount @ self.admits[rows]
+        self.room[a] -= change
+        self.room[b] += change
+
+    def _path(self, left: np.ndarray, admits: np.ndarray) -> list[int] | None:
+        """The shortest way from rows with tokens left to a source with spare quota, as sources."""
+        starts = np.flatnonzero(left @ admits).tolist()
+        back: dict[int, int | None] = dict.fromkeys(starts)
+        queue = deque(starts)
+        while queue:
+            at = queue.popleft()
+            if self.spare[at] > 0:
+                path: list[int] = []
+                node: int | None = at
+                while node is not None:
+                    path.append(node)
+                    node = back[node]
+                return path[::-1]
+            for to in np.flatnonzero(self.room[at] > 0).tolist():
+                if to not in back:
+                    back[to] = at
+                    queue.append(to)
+        return None
 
 
 def route(patterns: dict[tuple[str, ...], int], quotas: dict[str, int], repeats: dict[str, int]) -> list[tuple[tuple[str, ...], int, str, int]]:
     """(pattern, use, source, tokens) of the cheapest flow that fills the quotas as far as possible.
 
-    The k-th use of a pattern has its tokens as room and costs k - 1; a source takes at most its max_repeats uses.
+    The k-th use of a pattern has its tokens as room and costs k - 1; a source takes at most its max_repeats uses. The
+    costs lie on the uses only, so the cheapest largest flow comes by offering the first uses, then the second ones, and
+    so on, each by shortest augmenting paths that leave the totals of the uses before as they are.
     """
-    names, keys = sorted(quotas), sorted(patterns)
-    most = {p: max((repeats[s] for s in p), default=0) for p in keys}
-    uses = [(p, k) for p in keys for k in range(1, most[p] + 1)]
-    g = Flow(2 + len(uses) + len(names))
-    source_at = {s: 2 + len(uses) + i for i, s in enumerate(names)}
-    for s in names:
-        g.join(source_at[s], 1, max(0, quotas[s]), 0)
-    routed = []
-    for i, (p, k) in enumerate(uses):
-        g.join(0, 2 + i, patterns[p], k - 1)
-        for s in p:
-            if k <= repeats[s]:
-                routed.append((p, k, s, patterns[p], g.join(2 + i, source_at[s], patterns[p], 0)))
-    g.run(0, 1)
-    return [(p, k, s, room - e.room) for p, k, s, room, e in routed if room > e.room]
+    names = sorted(quotas)
+    place = {s: i for i, s in enumerate(names)}
+    keys = sorted(p for p in patterns if patterns[p] > 0 and p)
+    admits = np.zeros((len(keys), len(names)), dtype=bool)
+    for i, p in enumerate(keys):
+        admits[i, [place[s] for s in p]] = True
+    limits = np.array([repeats[s] for s in names], dtype=np.int64)
+    tokens = np.array([patterns[p] for p in keys], dtype=np.int64)
+    g = Routes([max(0, quotas[s]) for s in names])
+    owners: list[tuple[int, int]] = []
+    for k in range(1, int(limits.max(initial=0)) + 1):
+        allowed = admits & (limits >= k)
+        rows = np.flatnonzero(allowed.any(1))
+        if not len(rows) or not (g.spare[allowed.any(0)] > 0).any() and not (g.spare > 0).any():
+            break
+        g.offer(allowed[rows], tokens[rows])
+        owners += [(int(i), k) for i in rows]
+    at, to = np.nonzero(g.flow)
+    return [(keys[owners[r][0]], owners[r][1], names[s], int(g.flow[r, s])) for r, s in zip(at.tolist(), to.tolist(), strict=True)]
 
 
 def mix(sized: DataFrame, targets: DataFrame, *, seed: int = 17) -> tuple[DataFrame, DataFrame]:
@@ -113,9 +138,8 @@ def mix(sized: DataFrame, targets: DataFrame, *, seed: int = 17) -> tuple[DataFr
 
     # One bounded table serves all that follows: tokens by pattern and bucket.
     histogram = docs.groupBy("pattern", "bucket").agg(F.sum("tokens").alias("tokens"))
-    sums = histogram.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).limit(MOST_PATTERNS + 1).collect()
-    if len(sums) > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} membership patterns")
+    # One row per set of listed sources that some document has: a summary, at most 2^sources rows of a parameter table.
+    sums = histogram.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).collect()
     total = sum(r["tokens"] for r in sums)
     patterns = {tuple(r["pattern"]): r["tokens"] for r in sums if r["pattern"] and r["tokens"]}
     quotas = {s: round(x * total) for s, x in share.items()}
@@ -123,12 +147,13 @@ def mix(sized: DataFrame, targets: DataFrame, *, seed: int = 17) -> tuple[DataFr
 
     # Each use of a pattern is cut into stretches of its seeded order, one per source. A use that goes on where the one
     # before ended needs no other order: every stretch begins at 0.
-    stretches, at = [], {}
+    stretches: dict[tuple[str, ...], list[tuple[str, int, int]]] = {}
+    at: dict[tuple[tuple[str, ...], int], int] = {}
     for p, k, s, tokens in flows:
         begin = at.get((p, k), 0)
-        stretches.append((list(p), s, begin, begin + tokens))
+        stretches.setdefault(p, []).append((s, begin, begin + tokens))
         at[p, k] = begin + tokens
-    cuts = spark.createDataFrame(stretches, "pattern array<string>, source string, begin bigint, until bigint")
+    cuts = spark.createDataFrame([(list(p), c) for p, c in stretches.items()], "pattern array<string>, cuts array<struct<source:string,begin:bigint,until:bigint>>")
 
     from pyspark.sql import Window
 
@@ -139,7 +164,8 @@ def mix(sized: DataFrame, targets: DataFrame, *, seed: int = 17) -> tuple[DataFr
     placed = useful.withColumn("run", F.sum("tokens").over(within)).join(starts, ["pattern", "bucket"])
     # Twice the middle of the document's own stretch, in whole numbers.
     placed = placed.withColumn("mid2", 2 * (F.col("start") + F.col("run")) - F.col("tokens"))
-    chosen = placed.join(F.broadcast(cuts), "pattern").where("mid2 >= 2 * begin and mid2 < 2 * until")  # cuts: bounded by patterns and max_repeats
+    # One row per pattern: broadcast if few, else by lookup, as a pattern may hold a third of the documents.
+    chosen = checked_lookup(placed, cuts, ["pattern"], "inner").select("doc_id", "tokens", "mid2", F.inline("cuts")).where("mid2 >= 2 * begin and mid2 < 2 * until")
     selection = chosen.groupBy("doc_id", "source").agg(F.count(F.lit(1)).cast("int").alias("uses"), F.max("tokens").alias("tokens"))
 
     have = {s: sum(t for p, t in patterns.items() if s in p) for s in share}

@@ -74,6 +74,30 @@ def p7_shares(spark, d):
     return mixing.mix_documents(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def _accepted(spark, d):
+    """Documents sized in characters: each belongs to its source, accepted answers also to a source of their own."""
+    sources = F.array_compact(F.array("source", F.when(F.col("is_accepted"), F.lit("accepted"))))
+    sized = table(spark, d, "documents").select("doc_id", sources.alias("sources"), F.col("n_chars").alias("tokens"))
+    targets = table(spark, d, "mix_targets").select("source", (F.col("target_share") * 0.75).alias("target_share"), "max_repeats")
+    return sized, targets.unionByName(spark.createDataFrame([("accepted", 0.25, 2)], targets.schema))
+
+
+@query
+def p7_overlap_selection(spark, d):
+    return mixing.mix(*_accepted(spark, d))[0]
+
+
+@query
+def p7_overlap_shares(spark, d):
+    sized, targets = _accepted(spark, d)
+    selection, shares = mixing.mix(sized, targets)
+    # Whether no document is used more often than its source admits, nor by a source that doesn't hold it.
+    held = sized.select("doc_id", F.explode("sources").alias("source"), F.lit(True).alias("held")).distinct()
+    kept = selection.join(targets, "source").join(held, ["doc_id", "source"], "left").groupBy("source").agg(F.min((F.col("uses") <= F.col("max_repeats")) & F.coalesce("held", F.lit(False))).alias("kept"))
+    filled = F.col("selected_tokens") >= 0.99 * F.least("quota_tokens", F.col("available_tokens") * F.col("max_repeats"))
+    return shares.join(kept, "source", "left").select("source", "quota_tokens", "available_tokens", F.coalesce("kept", F.lit(True)).alias("within_limits"), filled.alias("filled"))
+
+
 @query
 def p8_found(spark, d):
     return language.cases(table(spark, d, "documents"))
@@ -116,3 +140,9 @@ w as (select k, responseid, row_number() over (partition by k order by a desc, b
 select k as broker_panel_id, coalesce(arg_min(responseid, n), '') as response_id, coalesce(arg_min(q1r, n) filter (q1r is not null), '') as q1_response_id,
   coalesce(arg_min(txr, n) filter (txr is not null), '') as q9_6_text_response_id from w group by k having count(*) >= 2""",
 )
+_MIXED = """
+with d as (select doc_id, source, n_chars from documents where source is not null union all select doc_id, 'accepted', n_chars from documents where is_accepted),
+t as (select source, target_share * 0.75 as share from mix_targets union all select 'accepted', 0.25)
+select source, round(share * (select sum(n_chars) from documents))::bigint as quota_tokens, coalesce(sum(n_chars), 0)::bigint as available_tokens, true as within_limits, true as filled
+from t left join d using (source) group by source, share"""
+oracle("p7_overlap_shares", _MIXED)

@@ -1,4 +1,5 @@
 import random
+import time
 from itertools import product
 
 import pytest
@@ -30,6 +31,36 @@ def test_flow_is_the_cheapest_that_places_most():
         assert (sum(f[3] for f in flows), -sum(f[3] * (f[1] - 1) for f in flows)) == best(patterns, quotas, repeats)
 
 
+def test_flow_of_three_sources():
+    """Tokens move on from a source to another one so that a third is filled."""
+    random.seed(6)
+    for _ in range(12):
+        patterns = {("a", "b"): random.randint(1, 2), ("b", "c"): random.randint(1, 2), ("a",): random.randint(0, 1)}
+        quotas, repeats = {"a": random.randint(0, 3), "b": random.randint(0, 2), "c": random.randint(0, 3)}, {"a": 1, "b": 1, "c": random.randint(1, 2)}
+        flows = mixing.route(patterns, quotas, repeats)
+        assert (sum(f[3] for f in flows), -sum(f[3] * (f[1] - 1) for f in flows)) == best(patterns, quotas, repeats)
+        assert all(s in p and k <= repeats[s] for p, k, s, _ in flows)
+
+
+def test_flow_of_many_patterns():
+    rng = random.Random(8)
+    names = [f"s{i:02}" for i in range(24)]
+    patterns = {tuple(sorted(rng.sample(names, rng.randint(1, 6)))): rng.randint(1, 10**6) for _ in range(20_000)}
+    total = sum(patterns.values())
+    quotas = {s: int(total * w) for s, w in zip(names, (0.3, 0.2, *[0.5 / 22] * 22), strict=True)}
+    repeats = {s: 1 + i % 4 for i, s in enumerate(names)}
+    began = time.perf_counter()
+    flows = mixing.route(patterns, quotas, repeats)
+    assert time.perf_counter() - began < 10
+    got, used = dict.fromkeys(names, 0), {}
+    for p, k, s, n in flows:
+        assert s in p and k <= repeats[s]
+        got[s] += n
+        used[p, k] = used.get((p, k), 0) + n
+    assert all(got[s] <= quotas[s] for s in names) and all(n <= patterns[p] for (p, _), n in used.items())
+    assert [s for s in names[1:] if got[s] < quotas[s]] == []
+
+
 SIZED = "doc_id bigint, sources array<string>, tokens bigint"
 
 
