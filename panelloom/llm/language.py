@@ -2,7 +2,7 @@
 
 The prose of a text (without code, program output, links, names in code marks and signs) is cut into sentences. Each
 sentence gets a posterior over languages: the likelihood of its hashed character n-grams, fused with a prior for the
-document from its declared label, the suffixes of the addresses in its links, and its source's habits, which are
+document from its declared label, the suffixes of all addresses in its links, and its source's habits, which are
 smoothed towards those of all sources. A chain over a document's sentences keeps single doubtful ones with their
 neighbours; runs of one language are the document's segments.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,8 @@ BUCKETS, ORDERS, TEMPER = 1 << 17, (1, 2, 3, 4), 0.35
 #: few, on the first sentences of longer ones too, as many as have that many characters.
 FIT_DOCUMENTS, FIT_CHARS, FIT_ROUNDS = 400, 20_000, 2
 FIT_BLOCK = 50
+#: Documents that a worker judges at once.
+BATCH = 500
 #: The label of a document whose language has fewer labelled ones is tried against a model without the document.
 LEAST_DOCUMENTS = 3
 #: Records by which a source's habits are smoothed towards those of all sources.
@@ -179,23 +181,36 @@ class Classifier:
         return _sums(self.table, grams(parts), len(parts)) * TEMPER
 
 
-def chain(score: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(language, confidence) of each sentence of one document by the forward-backward posterior."""
+def chains(score: np.ndarray, lengths: Sequence[int], priors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(language, confidence) of each sentence by the forward-backward posterior of its document.
+
+    score: a row per sentence, the documents' sentences one after the other; lengths: sentences of each document;
+    priors: a row per document. A step runs over all documents that are long enough for it.
+    """
     n, k = score.shape
+    if not n:
+        return np.zeros(0, dtype=np.int64), np.zeros(0)
     e = score - score.max(1, keepdims=True)
-    stay, move = math.log1p(-math.exp(SWITCH)), SWITCH - math.log(max(1, k - 1))
+    stay, move = 1.0 - math.exp(SWITCH), math.exp(SWITCH) / max(1, k - 1)
 
     def step(x: np.ndarray) -> np.ndarray:
-        top = x.max()
+        top = x.max(1, keepdims=True)
         w = np.exp(x - top)
-        return top + np.log(w * (math.exp(stay) - math.exp(move)) + w.sum() * math.exp(move))
-
+        return top + np.log(w * (stay - move) + w.sum(1, keepdims=True) * move)
+
+    size = np.asarray(lengths, dtype=np.int64)
+    begin = np.cumsum(size) - size
+    order = np.argsort(-size, kind="stable")
+    begin, size = begin[order], size[order]
+    # How many documents have more than t sentences.
+    alive = [int(np.searchsorted(-size, -t, side="left")) for t in range(int(size[0]))]
     forward, backward = np.empty((n, k)), np.zeros((n, k))
-    forward[0] = prior + e[0]
-    for i in range(1, n):
-        forward[i] = step(forward[i - 1]) + e[i]
-    for i in range(n - 2, -1, -1):
-        backward[i] = step(backward[i + 1] + e[i + 1])
+    for t, m in enumerate(alive):
+        at = begin[:m] + t
+        forward[at] = e[at] + (step(forward[at - 1]) if t else priors[order[:m]])
+    for t in range(len(alive) - 2, -1, -1):
+        at = begin[: alive[t + 1]] + t
+        backward[at] = step(backward[at + 1] + e[at + 1])
     post = forward + backward
     post = np.exp(post - post.max(1, keepdims=True))
     post /= post.sum(1, keepdims=True)
@@ -208,27 +223,39 @@ def label_counts(documents: DataFrame, by: list[str]) -> DataFrame:
     return documents.select(*by, language_code("lang").alias("code")).where("code is not null").groupBy(*by, "code").agg(F.count(F.lit(1)).alias("n"))
 
 
-def suffix(c: Column) -> Column:
-    """The address suffix of a text's first link, '' if there is none."""
-    return F.lower(F.regexp_extract(F.regexp_extract(F.coalesce(c, F.lit("")), _HOST, 1), r"\.([A-Za-z]{2,24})\.?$", 1))
+def suffixes(c: Column) -> Column:
+    """The different address suffixes of a text's links."""
+    hosts = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(_HOST), F.lit(1))
+    ends = F.transform(hosts, lambda h: F.lower(F.regexp_extract(h, r"\.([A-Za-z]{2,24})\.?$", 1)))
+    return F.array_distinct(F.filter(ends, lambda x: x != ""))
 
 
-def evidence(documents: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(doc_id, text, code, own, hosts) of each document, and the known languages.
+def evidence(documents: DataFrame, *, most: int = 20_000) -> tuple[DataFrame, dict[str, int], dict[str, dict[str, int]]]:
+    """(documents, labelled documents of each language, those of each address suffix).
 
-    own and hosts map language codes to the labelled documents of its source and of its links' address suffix. Sources may
-    be many and one may hold a third of all documents: few enough to be broadcast by count, or joined by lookup.
+    documents: doc_id, text, code, and own, suffixes and hosts. own maps language codes to the labelled documents of the
+    document's source, of which there may be many and one may hold a third of all documents: few enough to be broadcast
+    by count, or joined by lookup. The counts by suffix come as a dictionary where there are at most `most` suffixes; else
+    it is empty, and hosts has their sums over the document's suffixes.
     """
     total = {r["code"]: r["n"] for r in label_counts(documents, []).collect()}  # bounded by the codes
-    langs = sorted(total)
-    docs = spread(documents.select("doc_id", "text", "lang", "source")).select("doc_id", "text", "lang", F.coalesce("source", F.lit("")).alias("source"), suffix(F.col("text")).alias("suffix"))
-    # The counts read the table itself: they need no spreading, and no text but for the links' suffixes.
-    held = documents.select("lang", F.coalesce("source", F.lit("")).alias("source"), suffix(F.col("text")).alias("suffix"))
+    docs = spread(documents.select("doc_id", "text", "lang", "source")).select("doc_id", "text", "lang", F.coalesce("source", F.lit("")).alias("source"), suffixes(F.col("text")).alias("suffixes"))
     as_map = lambda df, key, name: df.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("code", "n"))).alias(name))
-    sources = as_map(label_counts(held, ["source"]), "source", "own")
-    hosts = as_map(label_counts(held.where("suffix <> ''"), ["suffix"]), "suffix", "hosts")
-    joined = checked_lookup(checked_lookup(docs, sources, ["source"]), hosts, ["suffix"])
-    return joined.select("doc_id", "text", language_code("lang").alias("code"), "own", "hosts"), langs
+    # The counts read the table itself: they need no spreading, and no text but for the links' suffixes.
+    sources = as_map(label_counts(documents.select("lang", F.coalesce("source", F.lit("")).alias("source")), ["source"]), "source", "own")
+    linked = documents.select("lang", F.explode(suffixes(F.col("text"))).alias("suffix"))
+    hosts = as_map(label_counts(linked, ["suffix"]), "suffix", "hosts")
+    some = hosts.limit(most + 1).collect()
+    joined = checked_lookup(docs, sources, ["source"])
+    if len(some) <= most:
+        joined = joined.withColumn("hosts", F.lit(None).cast("map<string,bigint>"))
+    else:
+        each = documents.select("doc_id", F.explode(suffixes(F.col("text"))).alias("suffix")).distinct()
+        each = checked_lookup(each, label_counts(linked, ["suffix"]).groupBy("suffix").agg(F.collect_list(F.struct("code", "n")).alias("held")), ["suffix"], "inner")
+        sums = each.select("doc_id", F.inline("held")).groupBy("doc_id", "code").agg(F.sum("n").alias("n"))
+        joined = joined.join(as_map(sums, "doc_id", "hosts"), "doc_id", "left")
+    out = joined.select("doc_id", "text", language_code("lang").alias("code"), "own", "suffixes", "hosts")
+    return out, total, {r["suffix"]: dict(r["hosts"]) for r in some} if len(some) <= most else {}
 
 
 def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -244,12 +271,12 @@ def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"code": pdf["code"], "text": texts})
 
 
-def fit(documents: DataFrame, langs: list[str], *, per_language: int = FIT_DOCUMENTS) -> Classifier:
+def fit(documents: DataFrame, counts: dict[str, int], *, per_language: int = FIT_DOCUMENTS) -> Classifier:
     """A classifier from at most per_language labelled documents a language, drawn evenly by a hash of their ids.
 
-    Long texts are only drawn where short ones are too few, and of each a bounded number of sentences.
+    counts: labelled documents of each language. Long texts are only drawn where short ones are too few, and of each a
+    bounded number of sentences.
     """
-    counts = {r["code"]: r["n"] for r in label_counts(documents, []).collect() if r["code"] in langs}
     u = (F.xxhash64("doc_id", F.lit(5)).cast("double") / F.lit(2.0**64)) + 0.5
     share = F.lit(0.0)
     for code, n in counts.items():
@@ -267,6 +294,7 @@ def prior_of(code: str | None, own: dict | None, hosts: dict | None, langs: list
     p = base
     for counts in (own, hosts):
         if counts:
+            counts = dict(counts)
             n = np.array([counts.get(x, 0) for x in langs], dtype=float)
             p = (n + SMOOTH * p) / (n.sum() + SMOOTH)
     said = np.full(len(langs), 0.1 / max(1, len(langs)))
@@ -287,50 +315,50 @@ def judge(documents: DataFrame, *, per_language: int = FIT_DOCUMENTS) -> DataFra
     rows are judged each; an empty table gives no rows; further columns are ignored. Any number of languages may be
     labelled; texts in a language that no label names get the nearest one, with its confidence.
     """
-    known, langs = evidence(documents)
-    model = fit(documents, langs, per_language=per_language) if langs else None
+    known, total, by_suffix = evidence(documents)
+    model = fit(documents, total, per_language=per_language) if total else None
     if model is None or not model.langs:
         kind = "array<struct<lang:string,confidence:double,words:int,sentences:int>>"
         return documents.select("doc_id", language_code("lang").alias("declared"), F.array().cast(kind).alias("segments"), F.array().cast("array<struct<lang:string,confidence:double,words:int>>").alias("languages"))
-    total = {r["code"]: r["n"] for r in label_counts(documents, []).collect()}
     base = np.array([total.get(x, 0) + 1.0 for x in model.langs])
-    state = documents.sparkSession.sparkContext.broadcast((model.langs, model.table, base / base.sum()))
+    state = documents.sparkSession.sparkContext.broadcast((model.langs, model.table, base / base.sum(), by_suffix))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        langs, table, base = state.value
+        langs, table, base, by_suffix = state.value
         model = Classifier(langs, table)
         for whole in batches:
-            for begin in range(0, len(whole), 500):
-                pdf = whole.iloc[begin : begin + 500]
+            for begin in range(0, len(whole), BATCH):
+                pdf = whole.iloc[begin : begin + BATCH]
                 parts = [sentences(t) for t in pdf["text"]]
-                score = model.score([s for p in parts for s in p])
-                segs, found, at = [], [], 0
-                for p, code, own, hosts in zip(parts, pdf["code"], pdf["own"], pdf["hosts"], strict=True):
-                    mine = score[at : at + len(p)]
-                    at += len(p)
-                    a, b = document(p, mine, prior_of(code, own, hosts, langs, base), langs)
-                    segs.append(a)
-                    found.append(b)
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "declared": pdf["code"].to_numpy(), "segments": segs, "languages": found})
+                # A sentence that several documents have is scored once.
+                places: dict[str, int] = {}
+                at = [places.setdefault(s, len(places)) for p in parts for s in p]
+                score = model.score(list(places))[at] if at else np.zeros((0, len(langs)))
+                priors = [prior_of(c, o, _links(x, h, by_suffix), langs, base) for c, o, x, h in zip(pdf["code"], pdf["own"], pdf["suffixes"], pdf["hosts"], strict=True)]
+                best, sure = chains(score, [len(p) for p in parts], np.array(priors))
+                ends = np.cumsum([len(p) for p in parts])
+                made = [document(p, best[e - len(p) : e], sure[e - len(p) : e], langs) for p, e in zip(parts, ends.tolist(), strict=True)]
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "declared": pdf["code"].to_numpy(), "segments": [a for a, _ in made], "languages": [b for _, b in made]})
 
     schema = "doc_id bigint, declared string, segments array<struct<lang:string,confidence:double,words:int,sentences:int>>, languages array<struct<lang:string,confidence:double,words:int>>"
-    own = lambda c: F.from_json(F.to_json(c), "map<string,bigint>")
-    return known.withColumns({"own": own("own"), "hosts": own("hosts")}).mapInPandas(run, schema)
+    return known.mapInPandas(run, schema)
+
 
+def _links(found: Sequence[str] | None, sums: dict | None, by_suffix: dict[str, dict[str, int]]) -> dict[str, int] | None:
+    """Labelled documents by language that link to any of the suffixes."""
+    if sums is not None or found is None or not len(found):
+        return sums
+    out: dict[str, int] = {}
+    for x in found:
+        for code, n in by_suffix.get(x, {}).items():
+            out[code] = out.get(code, 0) + n
+    return out
 
-def document(parts: list[str], score: np.ndarray, prior: np.ndarray, langs: list[str]) -> tuple[list[dict], list[dict]]:
-    """(segments, languages) of one document's sentences."""
+
+def document(parts: list[str], best: np.ndarray, sure: np.ndarray, langs: list[str]) -> tuple[list[dict], list[dict]]:
+    """(segments, languages) of one document's sentences, given the language and confidence of each."""
     if not parts:
         return [], []
-    alike = score.argmax(1)
-    if (alike == alike[0]).all():
-        # No sentence leans elsewhere, so the chain can't either: they share the posterior of the whole.
-        total = score.sum(0) + prior
-        p = np.exp(total - total.max())
-        p /= p.sum()
-        best, sure = (alike, np.full(len(parts), p[alike[0]])) if p.argmax() == alike[0] else chain(score, prior)
-    else:
-        best, sure = chain(score, prior)
     units = [_units(p) for p in parts]
     segments: list[dict] = []
     words: dict[int, int] = {}

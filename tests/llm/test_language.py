@@ -99,3 +99,45 @@ def test_long_texts_only(spark):
     assert [tuple(r) for r in L.cases(df).collect()] == [(90, "fr")]
     empty = spark.createDataFrame([(1, "", "en", "a"), (2, "Some words are here.", None, "a")], "doc_id bigint, text string, lang string, source string")
     assert L.cases(empty).count() == 0
+
+
+def chain_by_paths(score, prior):
+    """The posterior of each sentence's language by all paths through a short document."""
+    import itertools
+    import math
+
+    n, k = score.shape
+    stay, move = math.log(1 - math.exp(L.SWITCH)), L.SWITCH - math.log(k - 1)
+    mass = np.zeros((n, k))
+    for path in itertools.product(range(k), repeat=n):
+        p = math.exp(prior[path[0]] + sum(score[i, x] for i, x in enumerate(path)) + sum(stay if a == b else move for a, b in itertools.pairwise(path)))
+        for i, x in enumerate(path):
+            mass[i, x] += p
+    return mass / mass.sum(1, keepdims=True)
+
+
+def test_chains_equal_the_sum_over_all_paths():
+    rng = np.random.default_rng(3)
+    lengths = [3, 0, 1, 5, 2, 5]
+    score, priors = rng.normal(0, 1.5, (sum(lengths), 3)), np.log(rng.dirichlet([1, 1, 1], len(lengths)))
+    score[:3, 0] += 2.0  # all sentences of a document lean to one language
+    best, sure = L.chains(score, lengths, priors)
+    at = 0
+    for n, prior in zip(lengths, priors, strict=True):
+        if n:
+            want = chain_by_paths(score[at : at + n], prior)
+            assert (best[at : at + n] == want.argmax(1)).all() and np.allclose(sure[at : at + n], want.max(1), atol=1e-9)
+        at += n
+    assert len(L.chains(np.zeros((0, 3)), [0, 0], priors[:2])[0]) == 0
+
+
+def test_all_links_are_evidence(spark):
+    text = "See http://one.example.com/x and https://two.example.fr/y, http://three.fr:80 or http://192.0.2.1/z."
+    df = spark.createDataFrame([(1, text, "fr", "a"), (2, "http://a.de", "de", None), (3, "http://b.fr http://c.de", None, "a"), (4, None, None, None)], "doc_id bigint, text string, lang string, source string")
+    assert [sorted(r[0]) for r in df.select(L.suffixes(df.text)).collect()] == [["com", "fr"], ["de"], ["de", "fr"], []]
+    known, total, table = L.evidence(df)
+    assert total == {"fr": 1, "de": 1} and table == {"com": {"fr": 1}, "fr": {"fr": 1}, "de": {"de": 1}}
+    assert L._links(["fr", "de", "xyz"], None, table) == {"fr": 1, "de": 1} and L._links([], None, table) is None
+    # The way for more suffixes than are broadcast gives the same counts.
+    many, _, none = L.evidence(df, most=1)
+    assert none == {} and {r["doc_id"]: r["hosts"] for r in many.collect()} == {1: {"fr": 2}, 2: {"de": 1}, 3: {"fr": 1, "de": 1}, 4: None}
