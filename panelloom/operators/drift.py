@@ -134,6 +134,7 @@ def sketched(files: DataFrame) -> DataFrame:
     """
     records = files.select("feed", "file_id", "payload", _object().alias("_m")).where("_m is not null").select("feed", "file_id", "payload", _texts(F.col("_m")).alias("_texts"))
     per_field = records.select("feed", "file_id", F.inline("_texts")).groupBy("feed", "file_id", "name", "part").agg(F.theta_sketch_agg("plain", SKETCH_BITS).alias("values"), F.max(F.col("kind") != "boolean").alias("_any"))
+    per_field = per_field.checkpoint()  # read for the row-identifying fields and for the result
     sizes = files.groupBy("feed", "file_id").agg(F.theta_sketch_agg("payload", SKETCH_BITS).alias("_size"))
     # The list of a file's row-identifying fields is bounded by the width of its schema.
     anchors = (
@@ -191,6 +192,7 @@ def schema_changes(files: DataFrame) -> DataFrame:
     some = checked_lookup(files, needed, ["feed", "file_id"], "left_semi")
     # One row per file; the map is bounded by the width of its schema.
     of_file = sketched(some).groupBy("feed", "file_id").agg(F.map_from_entries(F.collect_list(F.struct("name", F.struct("pairs", "values")))).alias("_at"))
+    of_file = of_file.checkpoint()  # each file meets the one before it and the one after it
     seen = doubtful.join(of_file.withColumnRenamed("_at", "_new"), ["feed", "file_id"], "left").join(
         of_file.select("feed", F.col("file_id").alias("prev_file"), F.col("_at").alias("_old")), ["feed", "prev_file"], "left"
     )
