@@ -107,7 +107,7 @@ def build_linked(spark: SparkSession, master_sav, followup_sav, crosswalk_xlsx,
         _expect("master rows", expected[0], sizes[0])
         _expect("follow-up rows", expected[1], sizes[1])
     linked, decisions, statuses = link.link(master, followup, crosswalk, ordinal=at)
-    dropped = [r.asDict() for r in decisions.orderBy("_current_id", F.desc("_rank")).drop("_current_id", "_rank").collect()]
+    dropped = [r.asDict() for r in decisions.orderBy("_current_id", "_ranking").drop("_current_id", "_ranking").collect()]
     if expected:
         _expect("deduplicated follow-up rows", expected[2], sizes[1] - len(dropped))
     if link.preserved(master, linked, at):

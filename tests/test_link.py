@@ -73,3 +73,21 @@ def test_blank_and_missing_columns(spark):
         link.target_names(["x" * 62], [])
     with pytest.raises(ValueError, match="exist"):
         link.target_names(["x"], ["Y2_x"])
+
+
+def test_a_person_of_half_the_rows(spark):
+    data = [("A" if i % 2 else f"p{i}", 1.0, float(i % 10), float(i % 7), f"r{i:03}", 1.0) for i in range(200)]
+    f = followup(spark, *data)
+    kept, decisions = link.deduplicate(f, "_ord")
+    best = max((r for r in data if r[0] == "A"), key=lambda r: r[1:5])
+    assert kept.count() == 101 and [r["ResponseId"] for r in kept.where("_current_id = 'a'").collect()] == [best[4]]
+    assert decisions.count() == 99 and {r["kept_response_id"] for r in decisions.collect()} == {best[4]}
+    order = [r["dropped_response_id"] for r in decisions.orderBy("_current_id", "_ranking").collect()]
+    assert order == [r[4] for r in sorted((r for r in data if r[0] == "A"), key=lambda r: r[1:5])][:-1]
+    assert "Window" not in decisions._jdf.queryExecution().toString()
+
+
+def test_equal_rows_without_an_ordinal(spark):
+    f = spark.createDataFrame([("a", 1.0, 1.0, 1.0, "r")] * 3 + [("b", 1.0, 1.0, 1.0, "s")], "BrokerPanelId string, Finished double, Progress double, RecordedDate double, ResponseId string")
+    kept, decisions = link.deduplicate(f)
+    assert (kept.count(), rows(decisions.select("kept_response_id", "dropped_response_id"))) == (2, [("r", "r"), ("r", "r")])
