@@ -94,8 +94,8 @@ def p7_overlap_shares(spark, d):
     # Whether no document is used more often than its source admits, nor by a source that doesn't hold it.
     held = sized.select("doc_id", F.explode("sources").alias("source"), F.lit(True).alias("held")).distinct()
     kept = selection.join(targets, "source").join(held, ["doc_id", "source"], "left").groupBy("source").agg(F.min((F.col("uses") <= F.col("max_repeats")) & F.coalesce("held", F.lit(False))).alias("kept"))
-    filled = F.col("selected_tokens") >= 0.99 * F.least("quota_tokens", F.col("available_tokens") * F.col("max_repeats"))
-    return shares.join(kept, "source", "left").select("source", "quota_tokens", "available_tokens", F.coalesce("kept", F.lit(True)).alias("within_limits"), filled.alias("filled"))
+    within = F.col("selected_tokens") <= F.least(F.col("quota_tokens") * 1.01, F.col("available_tokens") * F.col("max_repeats"))
+    return shares.join(kept, "source", "left").select("source", "quota_tokens", "available_tokens", F.coalesce("kept", F.lit(True)).alias("within_limits"), within.alias("within_quota"))
 
 
 @query
@@ -143,6 +143,14 @@ select k as broker_panel_id, coalesce(arg_min(responseid, n), '') as response_id
 _MIXED = """
 with d as (select doc_id, source, n_chars from documents where source is not null union all select doc_id, 'accepted', n_chars from documents where is_accepted),
 t as (select source, target_share * 0.75 as share from mix_targets union all select 'accepted', 0.25)
-select source, round(share * (select sum(n_chars) from documents))::bigint as quota_tokens, coalesce(sum(n_chars), 0)::bigint as available_tokens, true as within_limits, true as filled
+select source, round(share * (select sum(n_chars) from documents))::bigint as quota_tokens, coalesce(sum(n_chars), 0)::bigint as available_tokens, true as within_limits, true as within_quota
 from t left join d using (source) group by source, share"""
 oracle("p7_overlap_shares", _MIXED)
+_BEST = ", ".join(f"first({c} order by n, {c} desc) filter (trim({c}, {_S}) <> '') as {c}" for c in FILL)
+oracle(
+    "p3_survivors",
+    _RANKED
+    + f"""
+w as (select *, rank() over (partition by k order by a desc, b desc, t desc, responseid desc nulls last) as n from n)
+select k as broker_panel_id, count(*) as records, arg_min(responseid, n) as responseid, {_BEST} from w group by k having count(*) >= 2""",
+)

@@ -2,8 +2,8 @@
 
 Records of a group are compared by trust (finished), completeness (progress) and recency (recorded). The skyline of
 undominated records is resolved by the lexicographic policy finished, progress, recorded, id. For every other field the
-records that fill it have a skyline of their own, which gives the field's value: dominance layers are peeled past the
-records that leave the field blank, so a blank never hides a filled value of a lower layer.
+records that fill it have a skyline of their own, the first dominance layer of those records, which gives the field's
+value in the same way: a record that leaves the field blank never hides a filled value that it dominates.
 """
 
 from __future__ import annotations
@@ -62,44 +62,58 @@ def survivors(records: DataFrame, *, group: str, record: str, finished: str, pro
 
     Columns: _group (the group's key, trimmed and in lower case), _size, `record`, and for each field f of fill the
     struct f(value, source): the value of the best record that fills it and that record's id, null if none does.
-    With values=False value is null, and the fields' texts are not shuffled.
+    With values=False value is null, and the fields' texts are not shuffled; else they are shuffled once, to join the
+    records that were found to give some.
     Records rank by finished, progress, recorded, then id by code point, highest first; blank and unreadable values rank
     below all others; a null id ranks below all ids. Rows with a blank key form no group; records delivered again count
-    each; of equal records any is taken, they differ in nothing that ranks; an empty table gives no rows.
+    each; of records that agree in all that ranks the greatest text is taken; an empty table gives no rows.
 
     A group of any size is first reduced, map-side, to the best record per finished, progress and field; the skyline is
     found among those cells by a running maximum, so no task holds a group.
     """
     key = F.lower(strip(F.col(group), UNICODE_SPACE))
     value = lambda c: F.col(c).cast("string")
-    ranked = records.select(
-        key.alias("_group"),
-        finished_rank(finished).alias("_fin"),
-        progress_number(progress).alias("_pro"),
-        recorded_second(recorded).alias("_rec"),
-        F.col(record).cast("string").alias("_id"),
-        *[F.when(strip(value(c), UNICODE_SPACE) != "", value(c) if values else F.lit("")).alias(f"_f{i}") for i, c in enumerate(fill)],
-    ).where("_group <> ''")
-    # Cells: (group, finished, progress), each with its latest record per field. Null sorts lowest in a struct.
-    best = [F.max(F.struct("_rec", "_id")).alias("_c_0")]
-    best += [F.max(F.when(F.col(f"_f{i}").isNotNull(), F.struct("_rec", "_id", *([F.col(f"_f{i}").alias("value")] if values else [])))).alias(f"_c_{i + 1}") for i in range(len(fill))]
-    cells = ranked.groupBy("_group", "_fin", "_pro").agg(F.count(F.lit(1)).alias("_n"), *best)
+    filled = lambda c: strip(value(c), UNICODE_SPACE) != ""
+    low = lambda c, least: F.coalesce(c, F.lit(least))
+    # What ranks, null below all else; an id has a sign in front, so that a null one can be told and joined.
+    policy = {
+        "_a": low(finished_rank(finished), -1),
+        "_b": low(progress_number(progress), float("-inf")),
+        "_t": low(recorded_second(recorded), -(1 << 62)),
+        "_id": F.coalesce(F.concat(F.lit("="), F.col(record).cast("string")), F.lit("")),
+    }
+    place = [e.alias(n) for n, e in policy.items()]
+    ranked = records.select(key.alias("_group"), *place, *[filled(c).alias(f"_f{i}") for i, c in enumerate(fill)]).where("_group <> ''")
+    # Cells: (group, finished, progress), each with its latest record per field.
+    best = [F.max(F.struct("_t", "_id")).alias("_c_0")]
+    best += [F.max(F.when(F.col(f"_f{i}"), F.struct("_t", "_id"))).alias(f"_c_{i + 1}") for i in range(len(fill))]
+    cells = ranked.groupBy("_group", "_a", "_b").agg(F.count(F.lit(1)).alias("_n"), *best)
     # One row per cell and field; dominated cells are those that a cell at least as finished and complete beats in time.
-    lines = F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"_c_{i}._rec").alias("rec"), F.col(f"_c_{i}._id").alias("id"), (F.col(f"_c_{i}.value") if i and values else F.lit(None).cast("string")).alias("value"), F.col(f"_c_{i}").isNotNull().alias("filled")) for i in range(len(fill) + 1)])
-    long = cells.select("_group", "_fin", "_pro", "_n", F.inline(lines)).where("filled")
-    low = lambda c, least: F.coalesce(F.col(c), F.lit(least))
-    long = long.withColumns({"_a": low("_fin", -1), "_b": low("_pro", float("-inf")), "_t": low("rec", -(1 << 62))})
+    # Groups of one record are left out first.
+    sizes = cells.groupBy("_group").agg(F.sum("_n").alias("_size")).where("_size >= 2")
+    lines = F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"_c_{i}._t").alias("_t"), F.col(f"_c_{i}._id").alias("_id")) for i in range(len(fill) + 1)])
+    long = cells.join(sizes, "_group").select("_group", "_size", "_a", "_b", F.inline(lines)).where("_id is not null")
     above = Window.partitionBy("_group", "field").orderBy(F.desc("_b"), F.desc("_a")).rowsBetween(Window.unboundedPreceding, -1)
     # In this order a cell can only be dominated by one before it: by any at least as finished and as late, and since
     # no two cells agree in both finished and progress, one of them is strictly better.
     over = lambda a: F.max(F.when(F.col("_a") >= a, F.col("_t"))).over(above)
     beaten = F.when(F.col("_a") == 1, over(1)).when(F.col("_a") == 0, over(0)).otherwise(over(-1))
     skyline = long.withColumn("_beaten", beaten).where("_beaten is null or _beaten < _t")
-    policy = F.struct("_a", "_b", "_t", F.col("id"))
-    top = skyline.groupBy("_group", "field").agg(F.max(F.struct(policy.alias("p"), F.col("value"))).alias("best"))
-    sizes = cells.groupBy("_group").agg(F.sum("_n").alias("_size")).where("_size >= 2")
-    wide = top.groupBy("_group").agg(
-        F.max(F.when(F.col("field") == 0, F.col("best.p.id"))).alias(record),
-        *[F.max(F.when(F.col("field") == i + 1, F.struct(F.col("best.value").alias("value"), F.col("best.p.id").alias("source")))).alias(c) for i, c in enumerate(fill)],
+    top = skyline.groupBy("_group", "_size", "field").agg(F.max(F.struct(*policy)).alias("p"))
+    source = F.when(F.col("p._id") != "", F.expr("substring(p._id, 2)"))
+    if not values:
+        return top.groupBy("_group", "_size").agg(
+            F.max(F.when(F.col("field") == 0, source)).alias(record),
+            *[F.max(F.when(F.col("field") == i + 1, F.struct(F.lit(None).cast("string").alias("value"), source.alias("source")))).alias(c) for i, c in enumerate(fill)],
+        )
+    # The values are read once more: each record that gives some brings them to its group.
+    wanted = top.groupBy("_group", "p", "_size").agg(F.collect_list("field").alias("_fields")).select("_group", "_size", "p.*", "_fields")
+    given = records.select(key.alias("_group"), *place, *[F.when(filled(c), value(c)).alias(f"_v{i}") for i, c in enumerate(fill)]).where("_group <> ''")
+    joined = given.join(wanted, ["_group", *policy])
+    holds = lambda i: F.array_contains("_fields", i)
+    source = F.when(F.col("_id") != "", F.expr("substring(_id, 2)"))
+    return joined.groupBy("_group").agg(
+        F.max("_size").alias("_size"),
+        F.max(F.when(holds(0), source)).alias(record),
+        *[F.max(F.when(holds(i + 1) & F.col(f"_v{i}").isNotNull(), F.struct(F.col(f"_v{i}").alias("value"), source.alias("source")))).alias(c) for i, c in enumerate(fill)],
     )
-    return sizes.join(wide, "_group")

@@ -63,5 +63,10 @@ def test_without_values(spark):
     assert [(tuple(r["q1"]), tuple(r["txt"])) for r in out.collect()] == [((None, "r1"), (None, "r2"))]
 
 
+def test_values_of_records_delivered_again_and_of_null_ids(spark):
+    got = survive(spark, [("k", "r1", "1", "50", None, "1", "old"), ("k", "r1", "1", "60", None, " ", "x"), ("k", "r1", "1", "60", None, " ", "y"), ("n", None, "1", "1", None, "5", None), ("n", None, "0", "1", None, "6", "low")])
+    assert got == {"k": (3, "r1", ("1", "r1"), ("y", "r1")), "n": (2, None, ("5", None), ("low", None))}
+
+
 def test_empty(spark):
     assert survive(spark, [("a", "r", "1", "1", "", "", "")]) == {}
