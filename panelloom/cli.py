@@ -129,12 +129,12 @@ def rough_merge_followup(spark, a):
 
 def transform_wave(spark, a):
     report = wave.transform(spark, a.input_csv, a.master_sav, a.config, a.output_csv, a.output_sav, a.report_json, enforce_expected=not a.any_size)
-    print(f"Rows: {report['counts']['rows']}", f"Output columns: {report['counts']['output_columns']}", f"Output SAV: {a.output_sav}", sep="\n")
+    print(f"Rows: {report['output_rows']}", f"Output columns: {report['output_columns']}", f"Output SAV: {a.output_sav}", sep="\n")
 
 
 def validate_transform(spark, a):
     report = wave.validate(spark, a.candidate_sav, a.oracle_sav, a.report_json)
-    print(f"The datasets agree: {report['rows']['candidate']} rows, {report['columns']['candidate']} columns.")
+    print(f"The datasets agree: {report['rows']} rows, {report['columns']} columns.")
 
 
 def build_linked_master(spark, a):

@@ -168,7 +168,8 @@ def assignment_counts(marked: DataFrame, cfg: ExportConfig) -> dict:
     row = marked.agg(F.count(F.lit(1)), F.count_if(usable), F.count_if(included & usable), F.count_if(included & ~usable), F.count_if(F.col("_code") == ""), F.count_if(excluded)).first()
     names = ("linked_master_rows", "rows_with_respondent_id", "included_cluster_assignments", "included_rows_missing_respondent_id", "blank_cluster_code_rows", "excluded_cluster_code_rows")
     by = lambda cond, c: marked.where(cond).groupBy(c).count()
-    sources = by(included & usable, "_id_source").orderBy(F.desc("count"), "_id_source").collect()
+    # The most frequent source first; equally frequent ones come as the config names them, the order of priority.
+    sources = sorted(by(included & usable, "_id_source").collect(), key=lambda r: (-r["count"], cfg.id_sources.index(r[0])))
     return dict(zip(names, row, strict=True)) | {
         "included_respondent_id_source_counts": {r[0]: r[1] for r in sources},
         "included_cluster_code_counts": {r[0]: r[1] for r in by(included & usable, "_code").orderBy("_code").collect()},

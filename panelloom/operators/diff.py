@@ -23,7 +23,7 @@ def cells_differ(a: Column, b: Column, numeric: bool, tolerance: float = TOLERAN
 
 
 def value_mismatches(candidate: DataFrame, oracle: DataFrame, key: str, columns: list[str] | None = None, *, tolerance: float = TOLERANCE) -> DataFrame:
-    """(column, mismatches, example_ids) of each shared column whose cells differ for a key in both tables.
+    """(column, mismatches, response_ids) of each shared column whose cells differ for a key in both tables.
 
     Rows are joined by key; the cells that differ are unpivoted, so columns without differences cost no rows. example_ids
     are the first five keys in order. Keys must be unique; null keys match nothing.
@@ -38,7 +38,7 @@ def value_mismatches(candidate: DataFrame, oracle: DataFrame, key: str, columns:
     from pyspark.sql import Window
 
     rank = F.row_number().over(Window.partitionBy("column").orderBy("_k"))
-    first = long.withColumn("r", rank).where(F.col("r") <= EXAMPLES).groupBy("column").agg(F.array_sort(F.collect_list("_k")).alias("example_ids"))
+    first = long.withColumn("r", rank).where(F.col("r") <= EXAMPLES).groupBy("column").agg(F.array_sort(F.collect_list("_k")).alias("response_ids"))
     return long.groupBy("column").agg(F.count(F.lit(1)).alias("mismatches")).join(first, "column")
 
 
@@ -86,7 +86,7 @@ def compare(candidate: DataFrame, oracle: DataFrame, key: str, *, tolerance: flo
                 found = {r["column"]: r for r in value_mismatches(candidate, oracle, key, tolerance=tolerance).collect()}
                 for c in oracle.columns:
                     if c in found:
-                        issues.append({"code": "VALUE_MISMATCH", "column": c, "mismatches": found[c]["mismatches"], "example_ids": list(found[c]["example_ids"])})
+                        issues.append({"code": "VALUE_MISMATCH", "column": c, "count": found[c]["mismatches"], "response_ids": [str(k) for k in found[c]["response_ids"]]})
     ours, theirs = fieldmeta.read(candidate), fieldmeta.read(oracle)
     for c in (c for c in oracle.columns if c in candidate.columns):
         for code, x, y in (
@@ -96,4 +96,4 @@ def compare(candidate: DataFrame, oracle: DataFrame, key: str, *, tolerance: flo
         ):
             if x != y:
                 issues.append({"code": code, "column": c, "candidate": x, "oracle": y})
-    return {"key": key, "tolerance": tolerance, "rows": rows, "columns": {"candidate": len(candidate.columns), "oracle": len(oracle.columns)}, "passed": not issues, "issues": issues}
+    return {"key": key, "tolerance": tolerance, "rows": rows.get("oracle", 0), "columns": len(oracle.columns), "candidate_rows": rows.get("candidate", 0), "candidate_columns": len(candidate.columns), "passed": not issues, "issues": issues}

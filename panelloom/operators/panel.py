@@ -10,6 +10,10 @@ from panelloom.operators import clusters
 from panelloom.operators.clusters import ExportConfig
 from panelloom.operators.link import duplicated
 from panelloom.operators.rules import non_numeric_columns, quoted
+from panelloom.plans.skew import checked_lookup
+
+#: The reasons of an exclusion, and their names in the keys of the report.
+REASONS = {"blank": "blank_cluster", "code": "cluster_code", "missing": "missing_cluster_assignment"}
 
 
 def wave_columns(columns: list[str], waves: dict[str, str], exclude: list[str] | tuple[str, ...] = ()) -> dict[str, dict[str, str]]:
@@ -50,8 +54,11 @@ def drop_empty(panel: DataFrame, stems: list[str]) -> DataFrame:
 
 
 def with_reason(panel: DataFrame, given: DataFrame, cfg: ExportConfig) -> DataFrame:
-    """panel with its assignment and _reason: blank, code or missing, null for a row that stays."""
-    joined = panel.join(given, "respondent_id", "left")
+    """panel with its assignment and _reason: blank, code or missing, null for a row that stays.
+
+    given has one row per respondent, of whom one may have a large share of the panel's rows.
+    """
+    joined = checked_lookup(panel, given, ["respondent_id"])
     code, label = F.col(quoted(cfg.code_column)), F.col(quoted(cfg.label_column))
     lacks = F.coalesce(code == "", F.lit(True)) | F.coalesce(label == "", F.lit(True))
     reason = F.when(F.col("_code") == "", "blank").when(~F.col("_code").isin(cfg.included), "code").when(lacks, "missing")
@@ -124,11 +131,11 @@ def export(master: DataFrame, given: DataFrame, cfg: ExportConfig, *, ordinal: s
         "distinct_respondent_id": distinct,
         "wave_counts": wave_counts(out, cfg),
         "dv_columns": len(stems),
-        "excluded_rows": sum(r["rows"] for r in gone),
-        "excluded_respondents": excluded_people,
-        "excluded_by_reason": {x: {"rows": total(x, "rows"), "respondents": total(x, "respondents")} for x in ("blank", "code", "missing")},
-        "excluded_rows_by_code": {r["code"]: r["rows"] for r in sorted(gone, key=lambda r: r["code"]) if r["reason"] == "code"},
-        "excluded_respondents_by_code": {r["code"]: r["respondents"] for r in sorted(gone, key=lambda r: r["code"]) if r["reason"] == "code"},
+        "excluded_unclustered_rows": sum(r["rows"] for r in gone),
+        "excluded_unclustered_respondents": excluded_people,
+        **{f"excluded_{name}_{what}": total(reason, what) for reason, name in REASONS.items() for what in ("rows", "respondents")},
+        "excluded_cluster_code_row_counts": {r["code"]: r["rows"] for r in sorted(gone, key=lambda r: r["code"]) if r["reason"] == "code"},
+        "excluded_cluster_code_respondent_counts": {r["code"]: r["respondents"] for r in sorted(gone, key=lambda r: r["code"]) if r["reason"] == "code"},
         "duplicate_respondent_wave_rows": 0,
     }
     return out, {"method": "long analysis-ready export from linked master", "counts": counts, "dv_columns": list(stems), "excluded_non_numeric_stems": other}

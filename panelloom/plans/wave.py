@@ -5,8 +5,6 @@ Stages hand over by files, where the comparison gates the link, and each stage p
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,20 +74,35 @@ def transform(spark: SparkSession, input_csv, master_sav, config, output_csv, ou
     formats = {f.name: "F8.2" for f in aligned.schema.fields if isinstance(f.dataType, T.DoubleType)} | {c: "F18.12" for c in alignment.get("date_columns", []) if c in aligned.columns}
     dictionary = Dictionary({n: h for h, n in names.items()}, labels.values, formats)
     sav.write_sav(fieldmeta.attach(aligned, dictionary), output_sav)
+    # The keys of the reports are what their readers look for.
     report = {
-        "inputs": {str(p): files.sha256(p) for p in (input_csv, master_sav, config)},
-        "counts": {"rows": rows, "input_columns": len(names), "derived_columns": len(derived.columns) - 1 - len(names), "output_columns": len(derived.columns) - 1},
-        "columns_left_as_text": left,
-        "outputs": {str(p): files.sha256(p) for p in (output_csv, output_sav)},
+        "input_csv": str(input_csv),
+        "master_sav": str(master_sav),
+        "config": str(config),
+        "input_rows": rows,
+        "input_columns": len(names),
+        "derived_columns": len(derived.columns) - 1 - len(names),
+        "output_rows": rows,
+        "output_columns": len(derived.columns) - 1,
+        "rejected_numeric_columns": left,
+        **_written(output_csv, output_sav),
     }
     if report_json:
         files.write_json(report_json, report)
     return report
 
 
+def _written(output_csv, output_sav) -> dict:
+    """Paths and fingerprints of a stage's two files."""
+    paths = {"output_csv": output_csv, "output_sav": output_sav}
+    return {k: str(p) for k, p in paths.items()} | {f"{k}_sha256": files.sha256(p) for k, p in paths.items()}
+
+
 def validate(spark: SparkSession, candidate_sav, oracle_sav, report_json=None, *, key: str = "ResponseId", tolerance: float = diff.TOLERANCE) -> dict:
     """The comparison of two system files; its report is written before a difference raises an error."""
-    report = diff.compare(sav.read_sav(spark, candidate_sav), sav.read_sav(spark, oracle_sav), key, tolerance=tolerance)
+    paths = {"candidate_sav": candidate_sav, "oracle_sav": oracle_sav}
+    given = {k: str(p) for k, p in paths.items()} | {k.replace("_sav", "_sha256"): files.sha256(p) for k, p in paths.items()}
+    report = given | diff.compare(sav.read_sav(spark, candidate_sav), sav.read_sav(spark, oracle_sav), key, tolerance=tolerance)
     if report_json:
         files.write_json(report_json, report)
     if report["issues"]:
@@ -126,7 +139,9 @@ def build_linked(spark: SparkSession, master_sav, followup_sav, crosswalk_xlsx,
             "raw_followup_rows": sizes[1],
             "duplicate_followup_rows_removed": len(dropped),
             "deduplicated_followup_rows": sizes[1] - len(dropped),
-            **{s: by.get(s, 0) for s in link.STATUSES},
+            "linked_to_existing_master": by.get("linked_existing_master", 0),
+            "crosswalk_original_missing_master": by.get("crosswalk_original_missing_master", 0),
+            "no_crosswalk": by.get("no_crosswalk", 0),
             "new_rows_appended": sum(n for s, n in by.items() if s != "linked_existing_master"),
             "output_rows": rows,
             "master_columns": len(master.columns) - 1,
@@ -134,7 +149,8 @@ def build_linked(spark: SparkSession, master_sav, followup_sav, crosswalk_xlsx,
             "output_columns": len(out.columns),
         },
         "deduplication_decisions": dropped,
-        "outputs": {str(Path(p)): files.sha256(p) for p in (output_csv, output_sav)},
+        "outputs": [str(output_csv), str(output_sav)],
+        **{k: v for k, v in _written(output_csv, output_sav).items() if k.endswith("sha256")},
     }
     if report_json:
         files.write_json(report_json, report)

@@ -301,7 +301,7 @@ oracle(
     "dataset_diff",
     """with m as (select 'o_totalprice' as "column", o_orderkey as k from orders where o_orderpriority = '1-URGENT' or (o_orderpriority <> '2-HIGH' and o_orderstatus = 'P')
 union all select 'o_orderstatus', o_orderkey from orders where o_totalprice < 5000)
-select "column", count(*) as mismatches, list_slice(list(k order by k), 1, 5) as example_ids from m group by 1""",
+select "column", count(*) as mismatches, list_slice(list(k order by k), 1, 5) as response_ids from m group by 1""",
 )
 
 

@@ -25,8 +25,8 @@ def inline(*rows_):
 
 
 def test_workbooks(spark, tmp_path):
-    a = workbook(tmp_path / "a.xlsx", inline(HEADS, ["current-1 ", "hid-1", "original-1"]))
-    assert rows(files.read_crosswalk(spark, a)) == [("current-1", "hid-1", "original-1")]
+    a = workbook(tmp_path / "a.xlsx", inline(HEADS, ["M-771 ", "panel/9", " orig 0042"], ["", None, " "], ["M-772", "panel/10", "orig 0043"]))
+    assert rows(files.read_crosswalk(spark, a)) == [("M-771", "panel/9", "orig 0042"), ("M-772", "panel/10", "orig 0043")]
     shared = '<row><c r="A1" t="s"><v>0</v></c><c r="C1"><v>1.50</v></c></row><row><c><v>7</v></c></row>'
     assert files.read_worksheet(workbook(tmp_path / "b.xlsx", shared, ["x &amp; y"])) == [["x & y", "", "1.50"], ["7", "", ""]]
     assert [files.column_index(c) for c in ("A1", "Z9", "AA1", "")] == [0, 25, 26, 0]
@@ -115,7 +115,10 @@ def test_wave_commands(spark, tmp_path):
     out = tmp_path / "all"
     args = ["build-y2-master", "--input-csv", raw, "--master-sav", str(master), "--crosswalk-xlsx", str(cross), "--oracle-sav", str(step / "t.sav"), "--config", config, "--output-dir", str(out)]
     assert cli.main([*args, "--any-size"], spark) == 0
-    assert json.loads((out / "linked_report.json").read_text())["counts"]["output_rows"] == 3
+    counts = json.loads((out / "linked_report.json").read_text())["counts"]
+    assert (counts["output_rows"], counts["linked_to_existing_master"], counts["new_rows_appended"]) == (3, 1, 1)
+    shown = json.loads((step / "t.json").read_text())
+    assert (shown["output_rows"], shown["output_columns"], shown["rejected_numeric_columns"], shown["output_csv_sha256"]) == (2, 8, [], files.sha256(step / "t.csv"))
     linked = sav.read_sav(spark, out / "linked_master.sav")
     assert fieldmeta.read(linked).labels["Y2_Q1"] == "[Y2 2026] Q1"
     assert cli.main(args, spark) == 1
