@@ -1,13 +1,15 @@
 """Reader and writer of SPSS system files (.sav), after the public description of the format.
 
-The writer makes uncompressed or bytecode-compressed files with labels, value labels, formats and long names; the reader
-takes both kinds, little-endian. Spark holds the data; a file is one stream of cases, so it is read on the driver in
-blocks of rows and written from a local iterator. read_dictionary reads the dictionary only.
+Reader and writer take uncompressed, bytecode-compressed and block-compressed files of either byte order, with labels,
+value labels, formats, long names and very long strings (up to 32,767 bytes). Spark holds the data; a file is one stream
+of cases, so it is read on the driver and written from a local iterator. read_dictionary reads the dictionary only.
 """
 
 from __future__ import annotations
 
+import codecs
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -26,18 +28,38 @@ FORMATS = {1: "A", 5: "F", 20: "DATE", 22: "DATETIME"}
 CODES = {"A": 1, "F": 5, "DATE": 20, "DATETIME": 22}
 
 
+# Fixed values of the format: the most bytes of a string, of one variable's part of it, and by which parts are counted.
+MOST_BYTES, PART, COUNTED = 32_767, 255, 252
+#: Bytes of cases in a block of a block-compressed file that is written.
+BLOCK = 1 << 20
+_ENCODINGS = {2: "latin-1", 3: "latin-1", 1250: "cp1250", 1251: "cp1251", 1252: "cp1252", 28591: "latin-1", 65001: "utf-8"}
+
+
 @dataclass
 class Layout:
-    """Variables of a file: (name, width; 0 is numeric) in order, and its dictionary."""
+    """Variables of a file: (name, width; 0 is numeric) in order, its dictionary, and how its cases are written."""
 
     variables: list[tuple[str, int]] = field(default_factory=list)
     dictionary: Dictionary = field(default_factory=Dictionary)
     cases: int = -1
-    compressed: bool = False
+    compression: int = 0
+    order: str = "<"
+    encoding: str = "utf-8"
+    bias: float = BIAS
+    blocks: list[tuple[int, int]] = field(default_factory=list)
+
+
+def parts(width: int) -> list[int]:
+    """Widths of the variables that hold a string."""
+    if width <= PART:
+        return [width]
+    n = -(-width // COUNTED)
+    return [PART] * (n - 1) + [width - (n - 1) * COUNTED]
 
 
-def _segments(width: int) -> int:
-    return max(1, (width + 7) // 8)
+def _units_of(width: int) -> int:
+    """Eight-byte units of a variable."""
+    return 1 if width == 0 else sum(max(1, (w + 7) // 8) for w in parts(width))
 
 
 def read_dictionary(f: BinaryIO) -> Layout:
@@ -45,91 +67,117 @@ def read_dictionary(f: BinaryIO) -> Layout:
     head = f.read(176)
     if head[:4] not in (b"$FL2", b"$FL3"):
         raise ValueError("This is no SPSS system file.")
-    layout, _, compression, _, cases = struct.unpack("<iiiii", head[64:84])
-    if layout not in (2, 3):
-        raise ValueError("Only little-endian system files are read.")
-    if compression not in (0, 1):
-        raise ValueError("System files with block compression are not read.")
-    out = Layout(cases=cases, compressed=compression == 1)
+    order = next((o for o in "<>" if struct.unpack(o + "i", head[64:68])[0] in (2, 3)), None)
+    if order is None:
+        raise ValueError("The byte order of this system file is unknown.")
+    ints = lambda n: struct.unpack(f"{order}{n}i", f.read(4 * n))
+    _, _, compression, _, cases = struct.unpack(order + "5i", head[64:84])
+    if compression not in (0, 1, 2):
+        raise ValueError(f"System files with compression {compression} are not read.")
+    out = Layout(cases=cases, compression=compression, order=order, bias=struct.unpack(order + "d", head[84:92])[0])
     short: list[str | None] = []
-    labels: dict[str, str] = {}
-    values: dict[str, dict] = {}
+    labels: dict[str, bytes] = {}
+    values: dict[str, list[tuple[bytes, bytes]]] = {}
     formats: dict[str, str] = {}
     widths: dict[str, int] = {}
-    pending: list[tuple[bytes, str]] = []
-    encoding, long_names = "utf-8", {}
+    pending: list[tuple[bytes, bytes]] = []
+    extra: dict[int, bytes] = {}
     while True:
-        (kind,) = struct.unpack("<i", f.read(4))
+        (kind,) = ints(1)
         if kind == 2:
-            width, has_label, missing, fmt, _, name = struct.unpack("<iiiii8s", f.read(28))
+            width, has_label, missing, fmt, _ = ints(5)
+            name = f.read(8)
             label = None
             if has_label:
-                (n,) = struct.unpack("<i", f.read(4))
+                (n,) = ints(1)
                 label = f.read((n + 3) // 4 * 4)[:n]
             f.read(8 * abs(missing))
             if width < 0:
                 short.append(None)
                 continue
-            key = name.decode("ascii", "replace").rstrip()
+            key = name.decode("latin-1").rstrip()
             short.append(key)
             widths[key] = width
             formats[key] = f"{FORMATS.get(fmt >> 16 & 255, 'F')}{fmt >> 8 & 255}" + (f".{fmt & 255}" if width == 0 else "")
             if label is not None:
-                labels[key] = label.decode(encoding, "replace")
+                labels[key] = label
         elif kind == 3:
-            (n,) = struct.unpack("<i", f.read(4))
             pending = []
-            for _ in range(n):
+            for _ in range(ints(1)[0]):
                 raw, size = f.read(8), f.read(1)[0]
-                pending.append((raw, f.read((size + 8) // 8 * 8 - 1)[:size].decode(encoding, "replace")))
+                pending.append((raw, f.read((size + 8) // 8 * 8 - 1)[:size]))
         elif kind == 4:
-            (n,) = struct.unpack("<i", f.read(4))
-            for at in struct.unpack(f"<{n}i", f.read(4 * n)):
+            for at in ints(ints(1)[0]):
                 key = short[at - 1]
                 if key and widths[key] == 0:
-                    values[key] = {struct.unpack("<d", raw)[0]: text for raw, text in pending}
+                    values[key] = pending
         elif kind == 6:
-            (n,) = struct.unpack("<i", f.read(4))
-            f.read(80 * n)
+            f.read(80 * ints(1)[0])
         elif kind == 7:
-            sub, size, n = struct.unpack("<iii", f.read(12))
-            data = f.read(size * n)
-            if sub == 13:
-                long_names = dict(x.split("=", 1) for x in data.decode(encoding, "replace").split("\t") if "=" in x)
-            elif sub == 14:
-                out.dictionary.formats |= {}
-                for part in data.decode(encoding, "replace").split("\x00\t"):
-                    if "=" in part:
-                        k, w = part.strip("\x00\t").split("=", 1)
-                        widths[k.upper()] = -int(w.strip("\x00"))  # a very long string, stored in several variables
+            sub, size, n = ints(3)
+            extra[sub] = f.read(size * n)
         elif kind == 999:
             f.read(4)
             break
         else:
             raise ValueError(f"Unknown record type {kind}.")
+    if 3 in extra:
+        out.encoding = _ENCODINGS.get(struct.unpack(order + "8i", extra[3][:32])[7], out.encoding)
+    if 20 in extra:
+        named = extra[20].decode("ascii", "replace").strip("\x00 ")
+        try:
+            out.encoding = codecs.lookup(named).name
+        except LookupError:
+            raise ValueError(f"The encoding of this system file is unknown: {named}") from None
+    text = lambda raw: raw.decode(out.encoding, "replace")
+    long_names = dict(x.split("=", 1) for x in text(extra.get(13, b"")).split("\t") if "=" in x)
+    very_long = {k.strip("\x00\t").upper(): int(w.strip("\x00")) for k, _, w in (x.partition("=") for x in text(extra.get(14, b"")).split("\x00\t")) if w}
     skip = 0
     for key in (k for k in short if k):
         if skip:
             skip -= 1
             continue
-        width = widths[key]
-        if width < 0:
-            width = -width
-            skip = (width + 251) // 252 - 1
+        width = very_long.get(key.upper(), widths[key])
+        skip = len(parts(width)) - 1
         name = long_names.get(key, key)
         out.variables.append((name, width))
         d = out.dictionary
         if key in labels:
-            d.labels[name] = labels[key]
+            d.labels[name] = text(labels[key])
         if key in values:
-            d.values[name] = values[key]
+            d.values[name] = {struct.unpack(order + "d", raw)[0]: text(shown) for raw, shown in values[key]}
         d.formats[name] = formats[key]
+    if compression == 2:
+        _, trailer, _ = struct.unpack(order + "3q", f.read(24))
+        at = f.tell()
+        f.seek(trailer + 16)
+        _, n = ints(2)
+        out.blocks = [struct.unpack(order + "2q2i", f.read(24))[1::2] for _ in range(n)]
+        f.seek(at)
     return out
 
 
-def _units(f: BinaryIO, compressed: bool) -> Iterator[bytes | None]:
+class _Blocks:
+    """The cases of a block-compressed file as a stream, a block at a time."""
+
+    def __init__(self, f: BinaryIO, blocks: list[tuple[int, int]]):
+        self.f, self.left, self.held, self.at = f, iter(blocks), b"", 0
+
+    def read(self, n: int) -> bytes:
+        while len(self.held) - self.at < n:
+            place = next(self.left, None)
+            if place is None:
+                break
+            self.f.seek(place[0])
+            self.held, self.at = self.held[self.at :] + zlib.decompress(self.f.read(place[1])), 0
+        out = self.held[self.at : self.at + n]
+        self.at += len(out)
+        return out
+
+
+def _units(f: BinaryIO | _Blocks, layout: Layout) -> Iterator[bytes | None]:
     """Eight-byte units of the cases; None is system-missing."""
-    if not compressed:
+    if not layout.compression:
         while len(raw := f.read(8)) == 8:
             yield raw
         return
@@ -144,33 +192,28 @@ def _units(f: BinaryIO, compressed: bool) -> Iterator[bytes | None]:
             elif c == 255:
                 yield None
             elif c:
-                yield struct.pack("<d", c - BIAS)
+                yield struct.pack(layout.order + "d", c - layout.bias)
 
 
 def read_cases(f: BinaryIO, layout: Layout) -> Iterator[tuple]:
     """The cases of an open file: doubles (None for missing) and texts without trailing blanks."""
-    units = _units(f, layout.compressed)
+    units = _units(_Blocks(f, layout.blocks) if layout.compression == 2 else f, layout)
+    number = struct.Struct(layout.order + "d").unpack
     while True:
         row = []
         for _, width in layout.variables:
+            raws = [next(units, b"") for _ in range(_units_of(width))]
+            if raws[0] == b"":
+                return
             if width == 0:
-                raw = next(units, b"")
-                if raw == b"":
-                    return
-                x = struct.unpack("<d", raw)[0] if raw is not None else None
+                x = number(raws[0])[0] if raws[0] is not None else None
                 row.append(None if x is None or x == MISSING else x)
                 continue
-            chunks, left = [], width
-            while left > 0:  # long strings lie in parts of 255 characters, each in whole units
-                part = min(left, 255) if width > 255 else left
-                raws = [next(units, b"") for _ in range(_segments(part))]
-                if raws and raws[0] == b"":
-                    return
-                chunks.append(b"".join(r or b" " * 8 for r in raws)[:part])
-                left -= 252 if width > 255 else part
-                if width > 255 and left > 0:
-                    chunks[-1] = chunks[-1][:252] if len(chunks[-1]) < 255 else chunks[-1]
-            row.append(b"".join(chunks)[:width].decode("utf-8", "replace").rstrip(" \x00"))
+            whole = b"".join(r or b" " * 8 for r in raws)
+            # Each part is full but for the last; what a part has beyond its width is padding.
+            step = 8 * ((PART + 7) // 8)
+            held = whole[:width] if width <= PART else b"".join(whole[i : i + PART] for i in range(0, len(whole), step))[:width]
+            row.append(held.decode(layout.encoding, "replace").rstrip(" \x00"))
         yield tuple(row)
 
 
@@ -198,11 +241,11 @@ def _format(shown: str | None, width: int) -> int:
     return CODES.get(kind, 5) << 16 | int(size or 8) << 8 | int(decimals or 0)
 
 
-def write_sav(df: DataFrame, path: str | Path, *, file_label: str = "", compress: bool = True) -> int:
-    """df as a system file: numeric columns as doubles, others as text of up to 255 bytes a value; longer texts are an error.
+def write_sav(df: DataFrame, path: str | Path, *, file_label: str = "", compress: bool | str = True, order: str = "<") -> int:
+    """df as a system file: numeric columns as doubles, others as text of up to 32,767 bytes a value; longer is an error.
 
-    Labels and formats come from the fields' metadata. Rows stream through the driver in df's order, twice (the widths of
-    texts come first).
+    compress: True for bytecodes, "block" for zlib blocks of them. order: "<" or ">", the byte order. Labels and formats
+    come from the fields' metadata. Rows stream through the driver in df's order, twice (the widths of texts come first).
     """
     from pyspark.sql import functions as F
 
@@ -211,57 +254,97 @@ def write_sav(df: DataFrame, path: str | Path, *, file_label: str = "", compress
     sizes = df.agg(F.count(F.lit(1)), *[F.max(F.octet_length(F.col(r).cast("string"))) for r, n in zip(ref, numeric, strict=True) if not n]).first()
     longest = iter(sizes[1:])
     widths = [0 if n else max(1, next(longest) or 1) for n in numeric]
-    if any(w > 255 for w in widths):
-        raise ValueError("A text is longer than the 255 bytes that a string variable holds: " + ", ".join(c for c, w in zip(df.columns, widths, strict=True) if w > 255))
+    if any(w > MOST_BYTES for w in widths):
+        raise ValueError(f"A text is longer than the {MOST_BYTES} bytes that a string variable holds: " + ", ".join(c for c, w in zip(df.columns, widths, strict=True) if w > MOST_BYTES))
     d = fieldmeta.read(df)
     short = [f"V{i:07d}" for i in range(len(df.columns))]
+    pack = lambda shape, *x: struct.pack(order + shape, *x)
     Path(path).parent.mkdir(parents=True, exist_ok=True)
     with open(path, "wb") as f:
-        units = sum(1 if w == 0 else _segments(w) for w in widths)
-        f.write(b"$FL2" + b"@(#) SPSS DATA FILE".ljust(60) + struct.pack("<iiiiid", 2, units, int(compress), 0, sizes[0], BIAS))
+        code = 2 if compress == "block" else int(bool(compress))
+        f.write((b"$FL3" if code == 2 else b"$FL2") + b"@(#) SPSS DATA FILE".ljust(60) + pack("5id", 2, sum(map(_units_of, widths)), code, 0, sizes[0], BIAS))
         f.write(b"01 Jan 2000:00:00" + _label(file_label, 64).ljust(64) + b"   ")
         at: dict[str, int] = {}
-        place = 1
-        for c, w, s in zip(df.columns, widths, short, strict=True):
-            label = _label(d.labels.get(c, ""), 255)
-            fmt = _format(d.formats.get(c), w)
-            f.write(struct.pack("<iiiiii8s", 2, w, int(bool(label)), 0, fmt, fmt, s.encode()))
-            if label:
-                f.write(struct.pack("<i", len(label)) + label.ljust((len(label) + 3) // 4 * 4))
+        place, more = 1, 0
+        for c, whole, s in zip(df.columns, widths, short, strict=True):
             at[c] = place
-            more = 0 if w == 0 else _segments(w) - 1
-            f.write(struct.pack("<iiiiii8s", 2, -1, 0, 0, 1 << 16 | 8 << 8, 1 << 16 | 8 << 8, b" " * 8) * more)
-            place += 1 + more
+            for i, w in enumerate(parts(whole)):
+                label = _label(d.labels.get(c, ""), 255) if i == 0 else b""
+                fmt = _format(d.formats.get(c), w)
+                name, more = (s, more) if i == 0 else (f"W{more:07d}", more + 1)
+                f.write(pack("6i8s", 2, w, int(bool(label)), 0, fmt, fmt, name.encode()))
+                if label:
+                    f.write(pack("i", len(label)) + label.ljust((len(label) + 3) // 4 * 4))
+                blanks = 0 if w == 0 else max(1, (w + 7) // 8) - 1
+                f.write(pack("6i8s", 2, -1, 0, 0, 1 << 16 | 8 << 8, 1 << 16 | 8 << 8, b" " * 8) * blanks)
+                place += 1 + blanks
         for c, w in zip(df.columns, widths, strict=True):
             if w == 0 and d.values.get(c):
-                f.write(struct.pack("<ii", 3, len(d.values[c])))
-                for code, text in d.values[c].items():
+                f.write(pack("2i", 3, len(d.values[c])))
+                for value, text in d.values[c].items():
                     raw = _label(text, 120)
-                    f.write(struct.pack("<dB", code, len(raw)) + raw.ljust((len(raw) + 8) // 8 * 8 - 1))
-                f.write(struct.pack("<iii", 4, 1, at[c]))
-        record = lambda sub, size, n, data: f.write(struct.pack("<iiii", 7, sub, size, n) + data)
-        record(3, 4, 8, struct.pack("<8i", 1, 0, 0, -1, 1, 1, 2, 65001))
-        record(4, 8, 3, struct.pack("<3d", MISSING, -MISSING, struct.unpack("<d", bytes.fromhex("feffffffffffefff"))[0]))
+                    f.write(pack("dB", value, len(raw)) + raw.ljust((len(raw) + 8) // 8 * 8 - 1))
+                f.write(pack("3i", 4, 1, at[c]))
+        record = lambda sub, size, n, data: f.write(pack("4i", 7, sub, size, n) + data)
+        record(3, 4, 8, pack("8i", 1, 0, 0, -1, 1, 1, 1 if order == ">" else 2, 65001))
+        record(4, 8, 3, pack("3d", MISSING, -MISSING, struct.unpack("<d", bytes.fromhex("feffffffffffefff"))[0]))
         names = "\t".join(f"{s}={c}" for s, c in zip(short, df.columns, strict=True)).encode()
         record(13, 1, len(names), names)
+        if very_long := "".join(f"{s}={w:05d}\x00\t" for s, w in zip(short, widths, strict=True) if w > PART).encode():
+            record(14, 1, len(very_long), very_long)
         record(20, 1, 5, b"UTF-8")
-        f.write(struct.pack("<ii", 999, 0))
-        pack = _Packer(f, compress)
+        f.write(pack("2i", 999, 0))
+        out = _BlockWriter(f, order) if code == 2 else f
+        packer = _Packer(out, bool(code), order)
         for row in df.toLocalIterator(prefetchPartitions=True):
             for v, w in zip(row, widths, strict=True):
                 if w == 0:
-                    pack.number(None if v is None else float(v))
-                else:
-                    pack.text(("" if v is None else str(v)).encode().ljust(8 * _segments(w)))
-        pack.end()
+                    packer.number(None if v is None else float(v))
+                    continue
+                raw = ("" if v is None else str(v)).encode()
+                for i, part in enumerate(parts(w)):
+                    packer.text(raw[PART * i : PART * (i + 1)].ljust(8 * max(1, (part + 7) // 8)))
+        packer.end()
+        if code == 2:
+            out.end()
     return sizes[0]
 
 
+class _BlockWriter:
+    """Cases in zlib blocks between a header and a trailer that say where they lie."""
+
+    def __init__(self, f: BinaryIO, order: str):
+        self.f, self.order, self.begin, self.held, self.blocks, self.done = f, order, f.tell(), bytearray(), [], 0
+        f.write(b" " * 24)
+
+    def write(self, raw: bytes) -> None:
+        self.held += raw
+        while len(self.held) >= BLOCK:
+            self._put(BLOCK)
+
+    def _put(self, n: int) -> None:
+        packed = zlib.compress(bytes(self.held[:n]))
+        self.blocks.append((self.begin + self.done, self.f.tell(), n, len(packed)))
+        self.f.write(packed)
+        self.done += n
+        del self.held[:n]
+
+    def end(self) -> None:
+        if self.held:
+            self._put(len(self.held))
+        at = self.f.tell()
+        self.f.write(struct.pack(self.order + "2q2i", int(-BIAS), 0, BLOCK, len(self.blocks)) + b"".join(struct.pack(self.order + "2q2i", *b) for b in self.blocks))
+        end = self.f.tell()
+        self.f.seek(self.begin)
+        self.f.write(struct.pack(self.order + "3q", self.begin, at, end - at))
+        self.f.seek(end)
+
+
 class _Packer:
     """Writes units, by bytecode if compressed."""
 
-    def __init__(self, f: BinaryIO, compress: bool):
-        self.f, self.compress, self.codes, self.data = f, compress, bytearray(), bytearray()
+    def __init__(self, f: BinaryIO | _BlockWriter, compress: bool, order: str):
+        self.f, self.compress, self.double, self.codes, self.data = f, compress, struct.Struct(order + "d").pack, bytearray(), bytearray()
 
     def _put(self, code: int, raw: bytes = b"") -> None:
         self.codes.append(code)
@@ -272,7 +355,7 @@ class _Packer:
             self.data.clear()
 
     def number(self, x: float | None) -> None:
-        raw = struct.pack("<d", MISSING if x is None or x != x else x)
+        raw = self.double(MISSING if x is None or x != x else x)
         if not self.compress:
             self.f.write(raw)
         elif x is None or x != x:

@@ -59,18 +59,44 @@ def test_written_tables(spark, tmp_path):
     assert files.sha256(tmp_path / "p.csv") == files.fingerprints(spark, [str(tmp_path / "p.csv")]).first()["sha256"]
 
 
-@pytest.mark.parametrize("compress", [True, False])
-def test_system_files(spark, tmp_path, compress):
+@pytest.mark.parametrize("order", ["<", ">"])
+@pytest.mark.parametrize("compress", [True, False, "block"])
+def test_system_files(spark, tmp_path, compress, order):
     data = [("R1", 1.0, -0.5, "x" * 200), ("é" * 20, None, 1e300, ""), (None, 151.0, 0.0, "y")]
     df = fieldmeta.attach(spark.createDataFrame(data, "`Response Id` string, a_very_long_variable_name double, n double, s string"), fieldmeta.Dictionary({"n": "A label, é"}, {"n": {1.0: "one", -0.5: "half"}}, {"n": "F8.2", "a_very_long_variable_name": "F18.12"}))
     path = tmp_path / "x.sav"
-    assert sav.write_sav(df, path, compress=compress) == 3
+    assert sav.write_sav(df, path, compress=compress, order=order) == 3
     got = sav.read_sav(spark, path, ordinal="_ord")
     assert rows(got, "_ord") == [("R1", 1.0, -0.5, "x" * 200, 0), ("é" * 20, None, 1e300, "", 1), ("", 151.0, 0.0, "y", 2)]
     d = fieldmeta.read(got)
     assert (d.labels["n"], d.values["n"], d.formats["n"], d.formats["a_very_long_variable_name"]) == ("A label, é", {1.0: "one", -0.5: "half"}, "F8.2", "F18.12")
-    with pytest.raises(ValueError, match="255"):
-        sav.write_sav(spark.createDataFrame([("x" * 256,)], "s string"), path)
+
+
+@pytest.mark.parametrize("compress", [True, False, "block"])
+def test_very_long_texts_of_system_files(spark, tmp_path, compress):
+    sizes = (255, 256, 503, 504, 505, 510, 2000, 32_000, 32_767)
+    texts = ["".join(chr(97 + (i * 7 + k // 26) % 26) for k in range(n)) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame([(1.0, *texts, 2.0), (3.0, *["é" * (n // 4) for n in sizes], 4.0), (5.0, *[None] * len(sizes), 6.0)], "a double, " + ", ".join(f"s{n} string" for n in sizes) + ", b double")
+    path = tmp_path / "l.sav"
+    sav.write_sav(df, path, compress=compress)
+    got = sav.read_sav(spark, path, ordinal="_ord")
+    assert rows(got.drop("_ord"), "a") == [(1.0, *texts, 2.0), (3.0, *["é" * (n // 4) for n in sizes], 4.0), (5.0, *[""] * len(sizes), 6.0)]
+    with pytest.raises(ValueError, match="32767"):
+        sav.write_sav(spark.createDataFrame([("x" * 32_768,)], "s string"), path)
+
+
+def test_encodings_of_system_files(spark, tmp_path):
+    path = tmp_path / "e.sav"
+    sav.write_sav(spark.createDataFrame([("cafe",)], "s string"), path, compress=False)
+    raw = path.read_bytes()
+    path.write_bytes(raw.replace(b"UTF-8", b"cp850").replace(b"cafe", b"caf\x82"))
+    assert rows(sav.read_sav(spark, path)) == [("café",)]
+    path.write_bytes(raw.replace(b"UTF-8", b"nope!"))
+    with pytest.raises(ValueError, match="nope!"):
+        sav.read_sav(spark, path)
+    path.write_bytes(b"$FL2" + b" " * 172)
+    with pytest.raises(ValueError, match="byte order"):
+        sav.read_sav(spark, path)
 
 
 def put(path, text):
