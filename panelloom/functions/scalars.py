@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import Column
@@ -89,39 +89,57 @@ _DIGITS = [c for c in map(chr, range(128, 0x20000)) if unicodedata.decimal(c, No
 _DIGIT_VALUES = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then of a value that is computed once, however often then names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def cluster_code(c: Column | str) -> Column:
     """normal_code as a column, by text operations in the JVM.
 
     Numbers of more than 28 digits keep them all, where normal_code rounds; exponents of more than four digits make no number.
     """
+    usual = r"^[+]?([1-9][0-9]{0,17})(\.0*)?$"
     s = text(c)
+    return F.when(s == "", "").when(s.rlike(usual), F.regexp_extract(s, usual, 1)).otherwise(_let(s, _unusual_code))
+
+
+def _unusual_code(s: Column) -> Column:
     ascii_digits = F.when(s.rlike(r"^[\x00-\x7F]*$"), s).otherwise(F.translate(s, "".join(_DIGITS), _DIGIT_VALUES))
-    plain = F.replace(ascii_digits, F.lit("_"), F.lit(""))
-    part = lambda i: F.regexp_extract(plain, r"^([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,4}))?$", i)
-    sign = F.when(part(1) == "-", "-").otherwise("")
-    digits = F.concat(part(2), part(3))
-    # The point's place among the digits, counted after leading zeros go.
-    short = F.ltrim(digits, F.lit("0"))
-    point = F.length(part(2)) + F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0)) - (F.length(digits) - F.length(short))
-    held = F.rtrim(short, F.lit("0"))
-    size = F.length(held)
-    number = (
-        F.when(held == "", "0")
-        .when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), held))
-        .when(point >= size, F.concat(held, F.repeat(F.lit("0"), point - size)))
-        .otherwise(F.concat(F.substr(held, F.lit(1), point), F.lit("."), F.substr(held, point + 1)))
-    )
-    quiet = F.regexp_extract(plain, r"(?i)^[+-]?(s?)nan([0-9]*)$", 1)
-    nan = F.concat(F.when(plain.startswith("-"), "-").otherwise(""), F.lower(quiet), F.lit("NaN"), F.ltrim(F.regexp_extract(plain, r"([0-9]*)$", 1), F.lit("0")))
+    return _let(F.replace(ascii_digits, F.lit("_"), F.lit("")), lambda plain: F.coalesce(_special_code(plain), s))
+
+
+def _special_code(plain: Column) -> Column:
+    """A number in its plain form, or the name of what is no finite one; null for other texts."""
+    sign = F.when(plain.startswith("-"), "-").otherwise("")
+    part = lambda i: F.regexp_extract(plain, r"^[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,4}))?$", i)
+    exponent = F.coalesce(F.nullif(part(3), F.lit("")).cast("int"), F.lit(0))
+    number = _let(F.struct(F.concat(part(1), part(2)).alias("digits"), (F.length(part(1)) + exponent).alias("point")), _placed)
+    quiet = F.lower(F.regexp_extract(plain, r"(?i)^[+-]?(s?)nan([0-9]*)$", 1))
     return (
-        F.when(s.rlike(r"^[+]?[1-9][0-9]{0,17}(\.0*)?$"), F.regexp_extract(s, r"^[+]?([0-9]+)", 1))
-        .when(plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,4})?$"), F.concat(sign, number))
-        .when(plain.rlike(INFINITE), F.concat(F.when(plain.startswith("-"), "-").otherwise(""), F.lit("Infinity")))
-        .when(plain.rlike(r"(?i)^[+-]?s?nan[0-9]*$"), nan)
-        .otherwise(s)
+        F.when(plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,4})?$"), F.concat(sign, number))
+        .when(plain.rlike(INFINITE), F.concat(sign, F.lit("Infinity")))
+        .when(plain.rlike(r"(?i)^[+-]?s?nan[0-9]*$"), F.concat(sign, quiet, F.lit("NaN"), F.ltrim(F.regexp_extract(plain, r"([0-9]*)$", 1), F.lit("0"))))
     )
 
 
+def _placed(x: Column) -> Column:
+    """Digits with a point after so many of them, without zeros that say nothing."""
+    short = F.ltrim(x["digits"], F.lit("0"))
+    known = F.struct(F.rtrim(short, F.lit("0")).alias("held"), (x["point"] - F.length(x["digits"]) + F.length(short)).alias("point"))
+
+    def shown(k: Column) -> Column:
+        held, point = k["held"], k["point"]
+        return (
+            F.when(held == "", "0")
+            .when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), held))
+            .when(point >= F.length(held), F.concat(held, F.repeat(F.lit("0"), point - F.length(held))))
+            .otherwise(F.concat(F.substr(held, F.lit(1), point), F.lit("."), F.substr(held, point + 1)))
+        )
+
+    return _let(known, shown)
+
+
 def squashed_name(c: Column | str) -> Column:
     """A column name in lower case, letters and digits only."""
     return F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]", "")
