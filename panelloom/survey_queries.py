@@ -377,10 +377,16 @@ oracle("cluster_code_counts", _MARKED + "select code, count(*) as rows, count(di
 
 @query
 def cluster_conflicts(spark, d):
-    return clusters.conflicts(_marked(spark, d))
+    """Every seventh row is delivered again with another code, which is a conflict, or none, which is one too."""
+    m = _marked(spark, d)
+    again = m.where("row_id % 7 = 0").withColumn("_code", F.when(F.col("row_id") % 2 == 0, "6").otherwise(""))
+    return clusters.conflicts(m.unionByName(again))
 
 
-oracle("cluster_conflicts", _MARKED + "select rid as respondent_id, count(distinct code) as codes from k where rid <> '' group by 1 having count(distinct code) > 1")
+oracle(
+    "cluster_conflicts",
+    _MARKED + ", a as (select rid, code from k union all select rid, if(row_id % 2 = 0, '6', '') from k where row_id % 7 = 0) select rid as respondent_id, count(distinct code) as codes from a where rid <> '' group by 1 having count(distinct code) > 1",
+)
 
 _WAVES = {"Y0": ("2024-01-01", "2024-01-11"), "Y1": ("2024-01-11", "2024-01-21"), "Y2": ("2024-01-21", "2024-01-31")}
 _PREFIX = {w: w + "_" for w in _WAVES}
@@ -421,11 +427,11 @@ oracle(
 
 @query
 def numeric_stems(spark, d):
-    good, bad = panel.numeric_stems(table(spark, d, "linked_master"), _CFG.waves)
+    good, bad = panel.numeric_stems(table(spark, d, "linked_master"), _CFG.waves, exclude=["crosswalk_original_id"])
     return spark.createDataFrame([(s, True) for s in good] + [(s, False) for s in bad], "stem string, is_numeric boolean")
 
 
-_STEMS = {"responseid": ("y0_responseid", "y1_responseid", "y2_responseid"), "housing_score": ("y0_housing_score", "y1_housing_score", "y2_housing_score"), "hidbrokerpanelid": ("y2_hidbrokerpanelid",), "crosswalk_original_id": ("y2_crosswalk_original_id",), "crosswalk_status": ("y2_crosswalk_status",)}
+_STEMS = {"responseid": ("y0_responseid", "y1_responseid", "y2_responseid"), "housing_score": ("y0_housing_score", "y1_housing_score", "y2_housing_score"), "hidbrokerpanelid": ("y2_hidbrokerpanelid",), "crosswalk_status": ("y2_crosswalk_status",)}
 oracle(
     "numeric_stems",
     " union all ".join(f"select '{s}' as stem, " + " and ".join(f"count(*) filter (trim({c}, {_S}) <> '' and ({_NUM.format(c)}) is null) = 0" for c in cs) + " as is_numeric from linked_master" for s, cs in _STEMS.items())
@@ -472,8 +478,8 @@ oracle("cluster_exclusions", _REASONED + "select reason, case when reason = 'cod
 
 @query
 def wave_counts(spark, d):
-    out = panel.output(_exported(spark, d), _CFG, ["housing_score"])
-    return out.groupBy("wave").agg(F.count(F.lit(1)).alias("rows"))
+    counts = panel.wave_counts(panel.output(_exported(spark, d), _CFG, ["housing_score"]), _CFG)
+    return spark.createDataFrame(list(counts.items()), "wave string, rows bigint")
 
 
 oracle("wave_counts", _REASONED + "select wave, count(*) as rows from (select distinct rid, c, l, wave, housing_score from e where reason is null) group by 1")
