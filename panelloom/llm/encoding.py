@@ -11,12 +11,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.plans.parallel import spread, tasks
@@ -27,11 +27,12 @@ SINGLE = ("cp1252", "cp1251", "mac_roman", "cp437", "cp850", "cp1250", "koi8_r",
 # Multi-byte encodings.
 WIDE = ("gb18030", "big5", "shift_jis", "euc_kr")
 #: Buckets of the hashed character model (its size, and what is broadcast, never grows) and of sources.
-BUCKETS, SOURCES = 1 << 18, 1 << 10
+BUCKETS, SOURCES = 1 << 20, 1 << 14
 #: Rounds of expectation-maximization; share of undamaged records assumed at first.
 ROUNDS, CLEAN = 3, 0.95
-#: Chance that a word of a damaged record is undamaged.
-SPARED = 0.1
+#: Chance that a word of a damaged record is undamaged, and share of damaged records of which only a part is damaged, of
+#: any size with the same chance.
+SPARED, PARTLY = 0.1, 0.1
 #: Logarithm of the chance of a capital after a small letter.
 ODD_CASE = -5.0
 #: A character in fewer than this share of all words starts without support in the character model.
@@ -251,10 +252,14 @@ class CharModel:
         start = gram[1] == "\x02"
         before = self.total if start else n[1 + (b * 2654435761 >> 7) % (BUCKETS - 1)]
         pair = self.total if start else n[self.slots_of("\x02" + gram[:2])[1]]
-        # One is taken off each count: what only this word attests is no evidence for it.
-        p1 = (max(n[one] - 1.0, 0.0) + 0.05) / (self.total + 5000.0)
-        p2 = (max(n[two] - 1.0, 0.0) + 4.0 * p1) / (before + 3.0)
-        return math.log((max(n[three] - 1.0, 0.0) + 4.0 * p2) / (pair + 3.0))
+        # One is taken off each count: what only this word attests is no evidence for it. No n-gram occurs more often
+        # than its parts: a bucket that others share doesn't make it likely.
+        first = n[one]
+        second = min(n[two], first, before)
+        third = min(n[three], second, pair)
+        p1 = (max(first - 1.0, 0.0) + 0.05) / (self.total + 5000.0)
+        p2 = (max(second - 1.0, 0.0) + 4.0 * p1) / (before + 3.0)
+        return math.log((max(third - 1.0, 0.0) + 4.0 * p2) / (pair + 3.0))
 
     def logp(self, word: str) -> float:
         """Log-probability of a word. Letters count in lower case; a capital after a small letter is rare in any script."""
@@ -362,7 +367,12 @@ class Judge:
         base = whole + len(words) * math.log(SPARED)
         score = {"": math.log(self.freq(source, "")) + whole}
         for chain, gain in gains.items():
-            score[chain] = math.log(self.freq(source, chain)) + base + gain
+            k, n = len(best[chain]), len(words)
+            # A part of k words of n: all sizes of the part, and all parts of a size, have the same chance.
+            part = whole + gain + k * (math.log(SPARED) - math.log(1 - SPARED)) - math.log((n + 1) * math.comb(n, k))
+            most, least = max(base + gain, part), min(base + gain, part)
+            weights = (1 - PARTLY, PARTLY) if base + gain >= part else (PARTLY, 1 - PARTLY)
+            score[chain] = math.log(self.freq(source, chain)) + most + math.log(weights[0] + weights[1] * math.exp(max(-700.0, least - most)))
         most = max(score.values())
         norm = sum(math.exp(max(-700.0, s - most)) for s in score.values())
         plain = math.exp(max(-700.0, score[""] - most)) / norm
@@ -396,14 +406,20 @@ def _source_bucket(sources: pd.Series) -> list[int]:
     return [zlib.crc32(str(s).encode("utf-8", "replace")) % SOURCES if s is not None else SOURCES for s in sources]
 
 
-def word_table(records: DataFrame, text: str, source: str | None) -> DataFrame:
+def word_table(records: DataFrame, text: str, source: str | Sequence[str] | None) -> DataFrame:
     """(source, word, n): distinct words with a character beyond ASCII, counted map-side over all records."""
-    src = F.col(source).cast("string") if source else F.lit("")
+    src = _source(source)
     words = records.select(src.alias("source"), F.explode(F.split(F.col(text), r"[ \t\r\n]+")).alias("word")).where(F.col("word").rlike(r"[^\x00-\x7F]"))
     return words.groupBy("source", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fit(records: DataFrame, *, text: str, source: str | None = None, rounds: int = ROUNDS) -> tuple[np.ndarray, dict[int, dict[str, float]], set[str]]:
+def _source(source: str | Sequence[str] | None) -> Column:
+    """One text of the columns that name a record's source and field."""
+    named = [source] if isinstance(source, str) else list(source or ())
+    return F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(named)])) if named else F.lit("")
+
+
+def fit(records: DataFrame, *, text: str, source: str | Sequence[str] | None = None, rounds: int = ROUNDS) -> tuple[np.ndarray, dict[int, dict[str, float]], set[str]]:
     """(character counts, chain frequencies per source bucket, chains in use) by expectation-maximization over all records.
 
     Each round is one distributed pass over the distinct words; the driver gets the hashed model (BUCKETS numbers) and
@@ -486,14 +502,15 @@ def fit(records: DataFrame, *, text: str, source: str | None = None, rounds: int
     return counts, prior, allowed or set()
 
 
-def repair(records: DataFrame, *, key: str, text: str, source: str | None = None, rounds: int = ROUNDS) -> DataFrame:
+def repair(records: DataFrame, *, key: str, text: str, source: str | Sequence[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
     """(key, damaged, chain, posterior, repaired, restored) of each record with a text.
 
     damaged: the posterior of damage exceeds one half, or characters are lost (U+FFFD, or controls that no text has).
     chain names the steps to undo ("read<written;"), '' if none is known; repaired is the text as written as far as it
     can be restored; restored is false where characters stay lost. Null, empty and blank texts give no row; texts of
     ASCII characters only are never damaged; escapes (entities, percent signs) are left alone; repeated rows give a row
-    each; an empty table gives none. source names a column whose values differ in their habits (null: one source).
+    each; an empty table gives none. source names the columns whose values differ in their habits (a null is a value too), such
+    as the record's source and, where the texts of several fields lie under each other, the field.
     """
     counts, prior, allowed = fit(records, text=text, source=source, rounds=rounds)
     state = records.sparkSession.sparkContext.broadcast((counts, prior, allowed))
@@ -517,7 +534,7 @@ def repair(records: DataFrame, *, key: str, text: str, source: str | None = None
             )
 
     kind = records.schema[key].dataType.simpleString()
-    src = F.col(source).cast("string") if source else F.lit("")
+    src = _source(source)
     filled = spread(records.select(F.col(key).alias("_key"), src.alias("source"), F.col(text).alias("text"))).where(F.length(F.btrim("text")) > 0)
     plain = filled.where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("_key", F.lit(False).alias("damaged"), F.lit("").alias("chain"), F.lit(1.0).alias("posterior"), F.col("text").alias("repaired"), F.lit(True).alias("restored"))
     judged = filled.where(F.col("text").rlike(r"[^\x00-\x7F]")).mapInPandas(run, f"_key {kind}, damaged boolean, chain string, posterior double, repaired string, restored boolean")

@@ -102,3 +102,23 @@ def test_long_texts_without_blanks(spark, written, read):
     got = {r["row_id"]: r for r in E.repair(spark.createDataFrame(list(seen.items()), "row_id bigint, txt string"), key="row_id", text="txt").collect()}
     assert {i for i, r in got.items() if r["damaged"]} == set(truth)
     assert {i for i in truth if got[i]["repaired"] != truth[i]} == set()
+
+
+def test_one_damaged_word_among_many(spark):
+    random.seed(5)
+    rows = [(i, f"{random.choice(CLEAN)} {i}; {random.choice(CLEAN)}", None if i % 3 else "a", "q1") for i in range(600)]
+    rows += [(1000 + i, damaged(random.choice(CLEAN), ("utf-8", "cp1252")), None, "q2") for i in range(30)]
+    whole = "; ".join(["J’habite chez mes parents à côté", "Das Häuschen gehört meiner Großmutter"] * 5)
+    rows += [(2000, whole.replace("côté", damaged("côté", ("utf-8", "cp1252")), 1), "a", "q1"), (2001, whole, "a", "q1")]
+    df = spark.createDataFrame(rows, "row_id bigint, txt string, feed string, field string")
+    got = {r["row_id"]: r for r in E.repair(df, key="row_id", text="txt", source=["feed", "field"]).collect()}
+    assert got[2000]["damaged"] and got[2000]["repaired"] == whole and not got[2001]["damaged"]
+    assert sum(got[i]["damaged"] for i in range(600)) == 0
+
+
+def test_shared_buckets_make_no_word_likely():
+    counts = E.np.full(E.BUCKETS, 1e6)
+    counts[0] = 1e9
+    for a, b, c in E.CharModel.slots("zqx"):
+        counts[[a, b]] = 0.0, 1e6
+    assert E.CharModel(counts).logp("zqx") < E.CharModel(E.np.full(E.BUCKETS, 1e6)).logp("zqx")
