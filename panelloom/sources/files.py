@@ -34,11 +34,12 @@ MAPPING_FIELDS = (
 )
 
 
-def read_text_table(spark: SparkSession, path: str | Path, *, encoding: str = "UTF-8", ordinal: bool = True) -> DataFrame:
+def read_text_table(spark: SparkSession, path: str | Path, *, encoding: str = "UTF-8", ordinal: bool = True, line_breaks: bool = True) -> DataFrame:
     """A CSV file as text columns with '' for missing cells, and its row order as _ord.
 
     Quoted line breaks and doubled quotes are read, blank lines skipped, a byte-order mark dropped; nothing is taken for
-    a number or a null. One file is one split (quoted line breaks), so _ord follows the file.
+    a number or a null. One file is one split, as its cells may hold line breaks; without line_breaks, which promises that
+    none do, a file is read by many tasks. _ord follows the file either way: splits are numbered in their order.
     """
     names = clean_headers(read_headers(path, encoding=encoding))
     if len(set(names)) != len(names):
@@ -47,7 +48,7 @@ def read_text_table(spark: SparkSession, path: str | Path, *, encoding: str = "U
     raw = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("escape", '"')
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
@@ -168,6 +169,11 @@ def write_table(df: DataFrame, path: str | Path, *, bom: bool = True, newline: s
     return n
 
 
+def write_parts(df: DataFrame, path: str | Path) -> None:
+    """A Parquet table with its fields' labels and formats, written by the executors: for tables too large for one file."""
+    df.write.mode("overwrite").parquet(str(path))
+
+
 def write_rows(path: str | Path, rows: Iterable[dict], fields: Iterable[str]) -> None:
     """One CSV file of small review rows."""
     Path(path).parent.mkdir(parents=True, exist_ok=True)

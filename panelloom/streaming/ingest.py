@@ -38,6 +38,8 @@ def ingest(lines: DataFrame, headers: str, loaded: str, rejected: str, checkpoin
         except AnalysisException as e:  # the first batch
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
+        # Only the headers of files that this batch has lines of are needed from here on.
+        known = known.join(lines.unionByName(df).select("file_name").distinct(), "file_name", "left_semi").select(*df.columns)
         files = known.select("file_name").distinct()
         lines.join(files, "file_name", "left_anti").select(*df.columns).write.mode("overwrite").parquet(f"{waiting}/batch={n}")
         whole = lines.join(files, "file_name", "left_semi").select(*df.columns).unionByName(known)

@@ -59,6 +59,22 @@ def test_written_tables(spark, tmp_path):
     assert files.sha256(tmp_path / "p.csv") == files.fingerprints(spark, [str(tmp_path / "p.csv")]).first()["sha256"]
 
 
+def test_tables_read_and_written_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text("k,v\n" + "".join(f'{i},"x,{i}"\n' for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 40_000)
+    try:
+        df = files.read_text_table(spark, path, line_breaks=False)
+        assert df.rdd.getNumPartitions() > 3
+        assert [(r["k"], r["v"]) for r in df.orderBy("_ord").collect()] == [(str(i), f"x,{i}") for i in range(20_000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    labelled = fieldmeta.attach(df, fieldmeta.Dictionary({"v": "A label"}, {}, {"k": "F8.2"}))
+    files.write_parts(labelled, tmp_path / "parts")
+    back = spark.read.parquet(str(tmp_path / "parts"))
+    assert back.count() == 20_000 and (fieldmeta.read(back).labels, fieldmeta.read(back).formats) == ({"v": "A label"}, {"k": "F8.2"})
+
+
 @pytest.mark.parametrize("order", ["<", ">"])
 @pytest.mark.parametrize("compress", [True, False, "block"])
 def test_system_files(spark, tmp_path, compress, order):
