@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
@@ -209,7 +210,7 @@ class CharModel:
     """Interpolated character trigrams in one hashed table of counts."""
 
     def __init__(self, counts: np.ndarray):
-        self.n, self.total = counts.tolist(), float(counts[0]) + 1.0
+        self.n, self.total = array("d", np.ascontiguousarray(counts, dtype=np.float64).tobytes()), float(counts[0]) + 1.0
         self.words = self.n[self.slots("")[0][0]]
         self.chars: dict[str, float] = {}
         self.grams: dict[str, float] = {}
