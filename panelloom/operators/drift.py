@@ -22,8 +22,9 @@ from panelloom.session import shared_checkpoints
 SKETCH_BITS = 12
 #: A field whose distinct values number at least this share of its file's distinct rows can identify rows.
 ANCHOR_SHARE = 0.75
-#: Least agreement of values, after allowing for rows that came or went, that makes a rename.
-RENAME_AT = 0.5
+#: Least agreement of values, after allowing for rows that came or went, that makes a rename, and what fields of few
+#: values, which agree by chance more often, need beyond it: this over the number of values.
+RENAME_AT, CHANCE = 0.5, 0.2
 #: Weight of the names' likeness beside the values' agreement when several renames compete.
 NAME_WEIGHT = 0.02
 #: Least score of a field of a file against a column of the unified layout.
@@ -219,8 +220,11 @@ def _contained(a: Column, b: Column) -> Column:
 
 
 def _agreement(o: Column, n: Column, overlap: Column) -> Column:
+    """How far a new field goes on with an old one's values; null if that is too little for a rename."""
     paired = F.when(o["pairs"].isNotNull() & n["pairs"].isNotNull() & (overlap > 0), F.least(F.lit(1.0), _contained(o["pairs"], n["pairs"]) / F.greatest(overlap, F.lit(0.2))))
-    return F.coalesce(paired, _contained(o["values"], n["values"]))
+    agreed = F.coalesce(paired, _contained(o["values"], n["values"]))
+    values = F.least(F.theta_sketch_estimate(o["values"]), F.theta_sketch_estimate(n["values"]))
+    return F.when(agreed >= RENAME_AT + CHANCE / F.greatest(values, F.lit(1.0)), agreed)
 
 
 def name_tokens(name: str) -> set[str]:
