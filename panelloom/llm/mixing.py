@@ -108,7 +108,7 @@ def route(patterns: dict[tuple[str, ...], int], quotas: dict[str, int], repeats:
     for k in range(1, int(limits.max(initial=0)) + 1):
         allowed = admits & (limits >= k)
         rows = np.flatnonzero(allowed.any(1))
-        if not len(rows) or not (g.spare[allowed.any(0)] > 0).any() and not (g.spare > 0).any():
+        if not len(rows) or not (g.spare > 0).any():
             break
         g.offer(allowed[rows], tokens[rows])
         owners += [(int(i), k) for i in rows]
