@@ -27,9 +27,11 @@ from panelloom.sources import files, sav
 
 
 def scratch(spark: SparkSession) -> Path:
-    """A new folder beside the session's checkpoints."""
+    """A new folder beside the session's checkpoints, which has to lie in a file system that is mounted."""
     shared_checkpoints(spark)
     root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    if not root.startswith(("file:", "/")):
+        raise ValueError(f"Artifacts are single files and need a mounted folder, not {root}.")
     folder = Path("/" + root.removeprefix("file:").lstrip("/")) / "artifacts" / uuid.uuid4().hex
     folder.mkdir(parents=True)
     return folder
