@@ -1,20 +1,26 @@
 """Reader and writer of SPSS system files (.sav), after the public description of the format.
 
 Reader and writer take uncompressed, bytecode-compressed and block-compressed files of either byte order, with labels,
-value labels, formats, long names and very long strings (up to 32,767 bytes). Spark holds the data; a file is one stream
-of cases, so it is read on the driver and written from a local iterator. read_dictionary reads the dictionary only.
+value labels, formats, long names and very long strings (up to 32,767 bytes). A file is one stream of cases: the driver
+scans it for the places of cases, tasks decode the parts between them; tasks encode cases, the driver puts them in a row.
+read_dictionary reads the dictionary only.
 """
 
 from __future__ import annotations
 
 import codecs
+import os
 import struct
 import zlib
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 from pathlib import Path
 from typing import BinaryIO
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -32,6 +38,9 @@ CODES = {"A": 1, "F": 5, "DATE": 20, "DATETIME": 22}
 MOST_BYTES, PART, COUNTED = 32_767, 255, 252
 #: Bytes of cases in a block of a block-compressed file that is written.
 BLOCK = 1 << 20
+#: Bytes of cases that one task decodes, that are scanned at once, and that are coded at once (one case at least).
+SPLIT, SCAN, BATCH = 16 << 20, 4 << 20, 1 << 20
+_BLANKS = np.frombuffer(b" " * 8, np.uint64)[0]
 _ENCODINGS = {2: "latin-1", 3: "latin-1", 1250: "cp1250", 1251: "cp1251", 1252: "cp1252", 28591: "latin-1", 65001: "utf-8"}
 
 
@@ -46,6 +55,7 @@ class Layout:
     order: str = "<"
     encoding: str = "utf-8"
     bias: float = BIAS
+    begin: int = 0
     blocks: list[tuple[int, int]] = field(default_factory=list)
 
 
@@ -154,78 +164,188 @@ def read_dictionary(f: BinaryIO) -> Layout:
         _, n = ints(2)
         out.blocks = [struct.unpack(order + "2q2i", f.read(24))[1::2] for _ in range(n)]
         f.seek(at)
+    out.begin = f.tell()
     return out
 
 
-class _Blocks:
-    """The cases of a block-compressed file as a stream, a block at a time."""
-
-    def __init__(self, f: BinaryIO, blocks: list[tuple[int, int]]):
-        self.f, self.left, self.held, self.at = f, iter(blocks), b"", 0
-
-    def read(self, n: int) -> bytes:
-        while len(self.held) - self.at < n:
-            place = next(self.left, None)
-            if place is None:
-                break
-            self.f.seek(place[0])
-            self.held, self.at = self.held[self.at :] + zlib.decompress(self.f.read(place[1])), 0
-        out = self.held[self.at : self.at + n]
-        self.at += len(out)
-        return out
-
-
-def _units(f: BinaryIO | _Blocks, layout: Layout) -> Iterator[bytes | None]:
-    """Eight-byte units of the cases; None is system-missing."""
+def _pieces(f: BinaryIO, layout: Layout, at: int = 0, block: int = 0) -> Iterator[bytes]:
+    """The bytes of the cases, unzipped: from byte at on, of block-compressed files from byte at of that block on."""
+    if layout.compression == 2:
+        for place, size in layout.blocks[block:]:
+            f.seek(place)
+            yield zlib.decompress(f.read(size))[at:]
+            at = 0
+        return
+    f.seek(layout.begin + at)
+    while raw := f.read(SCAN):
+        yield raw
+
+
+def _groups(pieces: Iterator[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Groups of eight bytecodes: the byte where each begins, its codes (0 from the end of the cases on), all data units."""
+    held, begin, ended = b"", 0, False
+    while not ended:
+        piece = next(pieces, None)
+        ended = piece is None
+        # At the end, a group that is cut off is filled up; the data that it lacks is left out below.
+        raw = held + (b"\0" * 64 if ended else piece)
+        there, n = (len(held) if ended else len(raw)) // 8, len(raw) // 8
+        words = np.frombuffer(raw, np.uint8, 8 * n).reshape(n, 8)
+        data = (words == 253).sum(1, dtype=np.uint8).tobytes()
+        at, found = 0, []
+        while at < there and (after := at + 1 + data[at]) <= n:
+            found.append(at)
+            at = after
+        places = np.array(found, np.int64)
+        codes, is_data = words[places], np.ones(at, bool)
+        is_data[places] = False
+        units = words[:at][is_data].reshape(-1).view(np.uint64)
+        flat = codes.reshape(-1)
+        if at > there:
+            flat[np.flatnonzero(flat == 253)[len(units) - (at - there)] :] = 0
+        if len(ends := np.flatnonzero(flat == 252)):
+            flat[ends[0] :] = 0
+            ended = True
+        yield begin + 8 * places, codes, units[: np.count_nonzero(flat == 253)]
+        held, begin = raw[8 * at :], begin + 8 * at
+
+
+def _splits(f: BinaryIO, layout: Layout) -> list[tuple[int, int, int, int, int]]:
+    """(block, byte, units to skip there, cases, cases before) of the parts of an open file that a task each decodes."""
+    width = sum(_units_of(w) for _, w in layout.variables)
+    if not width:
+        return []
+    most = max(1, SPLIT // (8 * width))
+    units, starts = 0, []
+    if not layout.compression:
+        units = (f.seek(0, os.SEEK_END) - layout.begin) // 8
+        starts = [(0, 8 * at, 0) for at in range(0, units, most * width)]
+    else:
+        lengths: list[int] = []
+
+        def pieces() -> Iterator[bytes]:
+            for raw in _pieces(f, layout):
+                lengths.append(len(raw))
+                yield raw
+
+        for places, codes, _ in _groups(pieces()):
+            filled = np.count_nonzero(codes, axis=1)
+            before = units + np.cumsum(filled) - filled
+            units += int(filled.sum())
+            while (first := len(starts) * most * width) < units:
+                k = int(np.searchsorted(before, first, "right")) - 1
+                starts.append((0, int(places[k]), first - int(before[k])))
+        if layout.compression == 2:
+            begins = [0, *accumulate(lengths)]
+            starts = [(k := bisect(begins, at) - 1, at - begins[k], skip) for _, at, skip in starts]
+    cases, rest = divmod(units, width)
+    if rest and not 0 <= layout.cases <= cases:
+        raise ValueError("This system file ends inside a case.")
+    return [(*at, min(most, cases - i * most), i * most) for i, at in enumerate(starts) if cases > i * most]
+
+
+def _decoded(f: BinaryIO, layout: Layout, block: int, at: int, skip: int, cases: int) -> Iterator[np.ndarray]:
+    """The units of a part's cases, a row of them per case."""
+    width = sum(_units_of(w) for _, w in layout.variables)
     if not layout.compression:
-        while len(raw := f.read(8)) == 8:
-            yield raw
+        f.seek(layout.begin + at)
+        most = max(1, BATCH // (8 * width))
+        for i in range(0, cases, most):
+            yield np.frombuffer(f.read(8 * width * min(most, cases - i)), np.uint64).reshape(-1, width)
         return
-    while len(codes := f.read(8)) == 8:
-        for c in codes:
-            if c == 252:
-                return
-            if c == 253:
-                yield f.read(8)
-            elif c == 254:
-                yield b" " * 8
-            elif c == 255:
-                yield None
-            elif c:
-                yield struct.pack(layout.order + "d", c - layout.bias)
-
-
-def read_cases(f: BinaryIO, layout: Layout) -> Iterator[tuple]:
-    """The cases of an open file: doubles (None for missing) and texts without trailing blanks."""
-    units = _units(_Blocks(f, layout.blocks) if layout.compression == 2 else f, layout)
-    number = struct.Struct(layout.order + "d").unpack
-    while True:
-        row = []
-        for _, width in layout.variables:
-            raws = [next(units, b"") for _ in range(_units_of(width))]
-            if raws[0] == b"":
-                return
-            if width == 0:
-                x = number(raws[0])[0] if raws[0] is not None else None
-                row.append(None if x is None or x == MISSING else x)
-                continue
-            whole = b"".join(r or b" " * 8 for r in raws)
-            # Each part is full but for the last; what a part has beyond its width is padding.
-            step = 8 * ((PART + 7) // 8)
-            held = whole[:width] if width <= PART else b"".join(whole[i : i + PART] for i in range(0, len(whole), step))[:width]
-            row.append(held.decode(layout.encoding, "replace").rstrip(" \x00"))
-        yield tuple(row)
+    known = [MISSING if c == 255 else c - layout.bias for c in range(256)]
+    unit_of = np.frombuffer(struct.pack(layout.order + "256d", *known), np.uint64).copy()
+    unit_of[254] = _BLANKS
+    is_text = np.concatenate([np.full(_units_of(w), w > 0) for _, w in layout.variables])
+    units, codes = np.empty(0, np.uint64), np.empty(0, np.uint8)
+    for _, found, data in _groups(_pieces(f, layout, at, block)):
+        found = found.reshape(-1)
+        found = found[found != 0]
+        got = unit_of[found]
+        got[found == 253] = data
+        units, codes = np.concatenate([units, got[skip:]]), np.concatenate([codes, found[skip:]])
+        skip = max(0, skip - len(got))
+        n = min(cases, len(units) // width)
+        out = units[: n * width].reshape(n, width)
+        out[(codes[: n * width].reshape(n, width) == 255) & is_text] = _BLANKS
+        most = max(1, BATCH // (8 * width))
+        yield from (out[i : i + most] for i in range(0, n, most))
+        units, codes, cases = units[n * width :], codes[n * width :], cases - n
+        if not cases:
+            return
+
+
+def _keeps_ascii(encoding: str) -> bool:
+    try:
+        return bytes(range(128)).decode(encoding) == "".join(map(chr, range(128)))
+    except UnicodeError:
+        return False
+
+
+def _texts(units: np.ndarray, width: int, encoding: str, keeps_ascii: bool) -> pa.Array:
+    """A string variable of cases, without trailing blanks."""
+    n = len(units)
+    raw = np.ascontiguousarray(units).view(np.uint8).reshape(n, -1)
+    if width > PART:  # each part is full but for the last; what a part has beyond its width is padding
+        step = 8 * ((PART + 7) // 8)
+        raw = np.pad(raw, ((0, 0), (0, -raw.shape[1] % step))).reshape(n, -1, step)[:, :, :PART].reshape(n, -1)
+    raw = np.ascontiguousarray(raw[:, :width])
+    if not keeps_ascii or n and raw.max() > 127:
+        return pa.array([r.tobytes().decode(encoding, "replace").rstrip(" \x00") for r in raw], pa.string())
+    shown = (raw != 32) & (raw != 0)
+    sizes = np.where(shown.any(1), width - shown[:, ::-1].argmax(1), 0)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(offsets), pa.py_buffer(raw[np.arange(width) < sizes[:, None]])])
+
+
+def _batch(units: np.ndarray, layout: Layout, keeps_ascii: bool) -> list[pa.Array]:
+    """The columns of cases: doubles (null for missing) and texts."""
+    columns, at = [], 0
+    for _, width in layout.variables:
+        n = _units_of(width)
+        if width:
+            columns.append(_texts(units[:, at : at + n], width, layout.encoding, keeps_ascii))
+        else:
+            x = np.ascontiguousarray(units[:, at]).view(layout.order + "f8").astype(np.float64)
+            columns.append(pa.array(x, mask=x == MISSING))
+        at += n
+    return columns
+
+
+def _stamp(f: BinaryIO) -> tuple[int, int]:
+    found = os.fstat(f.fileno())
+    return found.st_size, found.st_mtime_ns
 
 
 def read_sav(spark: SparkSession, path: str | Path, *, ordinal: str | None = None) -> DataFrame:
-    """A system file as doubles and texts with its dictionary on the fields; ordinal names a column that counts rows."""
-    with open(path, "rb") as f:
+    """A system file as doubles and texts with its dictionary on the fields; ordinal names a column that counts rows.
+
+    Tasks read the file where it lies, as text tables are read; one that has changed in the meantime is an error.
+    """
+    place = str(Path(path).absolute())
+    with open(place, "rb") as f:
         layout = read_dictionary(f)
-        rows = [(*r, i) if ordinal else r for i, r in enumerate(read_cases(f, layout))]
+        splits, stamp = _splits(f, layout), _stamp(f)
     schema = T.StructType([T.StructField(n, T.StringType() if w else T.DoubleType()) for n, w in layout.variables])
     if ordinal:
         schema = schema.add(ordinal, T.LongType())
-    return fieldmeta.attach(spark.createDataFrame(rows, schema), layout.dictionary)
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keeps_ascii = _keeps_ascii(layout.encoding)
+        for i in (i for b in batches for i in b.column(0).to_pylist()):
+            *part, first = splits[i]
+            with open(place, "rb") as f:
+                if _stamp(f) != stamp:
+                    raise ValueError(f"{place} has changed since its dictionary was read.")
+                for units in _decoded(f, layout, *part):
+                    columns = _batch(units, layout, keeps_ascii)
+                    if ordinal:
+                        columns.append(pa.array(np.arange(first, first + len(units))))
+                    first += len(units)
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return fieldmeta.attach(spark.range(0, len(splits), 1, max(1, len(splits))).mapInArrow(run, schema), layout.dictionary)
 
 
 def _label(text: str, most: int) -> bytes:
@@ -245,7 +365,8 @@ def write_sav(df: DataFrame, path: str | Path, *, file_label: str = "", compress
     """df as a system file: numeric columns as doubles, others as text of up to 32,767 bytes a value; longer is an error.
 
     compress: True for bytecodes, "block" for zlib blocks of them. order: "<" or ">", the byte order. Labels and formats
-    come from the fields' metadata. Rows stream through the driver in df's order, twice (the widths of texts come first).
+    come from the fields' metadata. The widths of texts come first; then tasks encode the cases, whose bytes stream through
+    the driver in df's order. The file takes its place when it is whole, so df may be read from the file that it replaces.
     """
     from pyspark.sql import functions as F
 
@@ -259,9 +380,12 @@ def write_sav(df: DataFrame, path: str | Path, *, file_label: str = "", compress
     d = fieldmeta.read(df)
     short = [f"V{i:07d}" for i in range(len(df.columns))]
     pack = lambda shape, *x: struct.pack(order + shape, *x)
+    code = 2 if compress == "block" else int(bool(compress))
+    cells = df.select(*[F.col(r).cast("double" if n else "string").alias(f"c{i}") for i, (r, n) in enumerate(zip(ref, numeric, strict=True))])
+    encoded = cells.mapInArrow(_encoder(widths, bool(code), order), "codes binary, data binary")
     Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "wb") as f:
-        code = 2 if compress == "block" else int(bool(compress))
+    part = Path(path).with_name(Path(path).name + ".part")
+    with open(part, "wb") as f:
         f.write((b"$FL3" if code == 2 else b"$FL2") + b"@(#) SPSS DATA FILE".ljust(60) + pack("5id", 2, sum(map(_units_of, widths)), code, 0, sizes[0], BIAS))
         f.write(b"01 Jan 2000:00:00" + _label(file_label, 64).ljust(64) + b"   ")
         at: dict[str, int] = {}
@@ -295,18 +419,14 @@ def write_sav(df: DataFrame, path: str | Path, *, file_label: str = "", compress
         record(20, 1, 5, b"UTF-8")
         f.write(pack("2i", 999, 0))
         out = _BlockWriter(f, order) if code == 2 else f
-        packer = _Packer(out, bool(code), order)
-        for row in df.toLocalIterator(prefetchPartitions=True):
-            for v, w in zip(row, widths, strict=True):
-                if w == 0:
-                    packer.number(None if v is None else float(v))
-                    continue
-                raw = ("" if v is None else str(v)).encode()
-                for i, part in enumerate(parts(w)):
-                    packer.text(raw[PART * i : PART * (i + 1)].ljust(8 * max(1, (part + 7) // 8)))
+        packer = _Packer(out)
+        for row in encoded.toLocalIterator(prefetchPartitions=True):
+            codes, data = map(zlib.decompress, row)
+            packer.put(codes, data) if code else out.write(data)
         packer.end()
         if code == 2:
             out.end()
+    os.replace(part, path)
     return sizes[0]
 
 
@@ -340,44 +460,76 @@ class _BlockWriter:
         self.f.seek(end)
 
 
+def _numbers(cells: pa.Array, order: str) -> tuple[np.ndarray, np.ndarray]:
+    """(bytecodes, units) of numbers."""
+    x = cells.to_numpy(zero_copy_only=False).astype(np.float64)
+    missing = np.isnan(x)
+    x = np.where(missing, MISSING, x)
+    code = np.where(np.abs(x) < 1000, x, 0.5) + BIAS
+    fits = (code == np.trunc(code)) & (code >= 1) & (code <= 251) & ~((x == 0) & np.signbit(x)) & (code - BIAS == x)
+    return np.where(missing, 255, np.where(fits, code, 253)).astype(np.uint8), x.astype(order + "f8").view(np.uint64)
+
+
+def _strings(cells: pa.Array, width: int) -> np.ndarray:
+    """The units of texts, a row of them per text."""
+    n, units, k = len(cells), _units_of(width), len(parts(width))
+    cells = cells.cast(pa.large_string()).fill_null("")
+    _, offsets, data = cells.buffers()
+    ends = np.frombuffer(offsets, np.int64, n + 1, 8 * cells.offset)
+    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.empty(0, np.uint8)
+    sizes = np.diff(ends)
+    if n and sizes.max() > width:
+        raise ValueError("A text is longer than it was when the widths of texts were counted.")
+    raw = np.full((n, PART * k if k > 1 else 8 * units), 32, np.uint8)
+    raw[np.arange(raw.shape[1]) < sizes[:, None]] = data
+    if k > 1:
+        raw = np.pad(raw.reshape(n, k, PART), ((0, 0), (0, 0), (0, -PART % 8)), constant_values=32).reshape(n, -1)[:, : 8 * units]
+    return np.ascontiguousarray(raw).view(np.uint64).reshape(n, units)
+
+
+def _encoder(widths: list[int], compress: bool, order: str):
+    """What a task does: bytecodes of all units (none uncompressed), and the units that are data, per some cases."""
+    most = max(1, BATCH // (8 * sum(map(_units_of, widths)) or 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, most) for b in batches for i in range(0, b.num_rows, most)):
+            codes, units = [], []
+            for cells, w in zip(batch.columns, widths, strict=True):
+                if w == 0:
+                    code, unit = (x[:, None] for x in _numbers(cells, order))
+                else:
+                    unit = _strings(cells, w)
+                    code = np.where(unit == _BLANKS, 254, 253).astype(np.uint8)
+                codes.append(code)
+                units.append(unit)
+            code, unit = np.concatenate(codes, 1), np.concatenate(units, 1)
+            made = (code.tobytes(), unit[code == 253].tobytes()) if compress else (b"", unit.tobytes())
+            # Zipped, a partition is about as large for the driver as it was in a shuffle.
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(x, 1)], pa.binary()) for x in made], names=["codes", "data"])
+
+    return run
+
+
 class _Packer:
-    """Writes units, by bytecode if compressed."""
-
-    def __init__(self, f: BinaryIO | _BlockWriter, compress: bool, order: str):
-        self.f, self.compress, self.double, self.codes, self.data = f, compress, struct.Struct(order + "d").pack, bytearray(), bytearray()
-
-    def _put(self, code: int, raw: bytes = b"") -> None:
-        self.codes.append(code)
-        self.data += raw
-        if len(self.codes) == 8:
-            self.f.write(bytes(self.codes) + bytes(self.data))
-            self.codes.clear()
-            self.data.clear()
-
-    def number(self, x: float | None) -> None:
-        raw = self.double(MISSING if x is None or x != x else x)
-        if not self.compress:
-            self.f.write(raw)
-        elif x is None or x != x:
-            self._put(255)
-        elif x == int(x) if abs(x) < 1000 else False:
-            code = int(x) + int(BIAS)
-            self._put(code) if 1 <= code <= 251 and not (x == 0 and str(x)[0] == "-") else self._put(253, raw)
-        else:
-            self._put(253, raw)
-
-    def text(self, raw: bytes) -> None:
-        for i in range(0, len(raw), 8):
-            unit = raw[i : i + 8]
-            if not self.compress:
-                self.f.write(unit)
-            elif unit == b" " * 8:
-                self._put(254)
-            else:
-                self._put(253, unit)
+    """Writes bytecodes in groups of eight, each before its data, however they come."""
+
+    def __init__(self, f: BinaryIO | _BlockWriter):
+        self.f, self.codes, self.data = f, b"", b""
+
+    def put(self, codes: bytes, data: bytes) -> None:
+        codes, data = self.codes + codes, self.data + data
+        n = len(codes) // 8
+        groups = np.frombuffer(codes, np.uint8, 8 * n).reshape(n, 8)
+        filled = np.count_nonzero(groups == 253, axis=1)
+        used = int(filled.sum())
+        places = np.arange(n) + np.cumsum(filled) - filled
+        out, is_data = np.empty(n + used, np.uint64), np.ones(n + used, bool)
+        is_data[places] = False
+        out[places] = groups.reshape(-1).view(np.uint64)
+        out[is_data] = np.frombuffer(data, np.uint64, used)
+        self.f.write(out.tobytes())
+        self.codes, self.data = codes[8 * n :], data[8 * used :]
 
     def end(self) -> None:
-        if self.compress and self.codes:
-            self._put(252)
-            while self.codes:
-                self._put(0)
+        if self.codes:
+            self.put(b"\xfc".ljust(8 - len(self.codes), b"\0"), b"")

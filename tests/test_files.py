@@ -115,6 +115,43 @@ def test_encodings_of_system_files(spark, tmp_path):
         sav.read_sav(spark, path)
 
 
+@pytest.mark.parametrize("compress", [True, False, "block"])
+def test_system_files_read_and_written_by_many_tasks(spark, tmp_path, monkeypatch, compress):
+    data = [(float(i) if i % 3 else None, f"{i} é" * (i % 7), i / 7, chr(97 + i % 26) * (i % 600)) for i in range(2000)]
+    df = spark.createDataFrame(data, "a double, b string, c double, d string")
+    for name, value in {"SPLIT": 50_000, "SCAN": 30_000, "BATCH": 9_000, "BLOCK": 20_000}.items():
+        monkeypatch.setattr(sav, name, value)
+    one, many = tmp_path / "1.sav", tmp_path / "n.sav"
+    sav.write_sav(df.coalesce(1), one, compress=compress)
+    sav.write_sav(df.repartition(5).sort(df.c), many, compress=compress)
+    assert one.read_bytes() == many.read_bytes()
+    got = sav.read_sav(spark, one, ordinal="_ord")
+    assert got.rdd.getNumPartitions() > 10
+    want = [(*r, i) for i, r in enumerate(data)]
+    assert [tuple(r) for r in got.collect()] == want
+    sav.write_sav(got.where("_ord < 1000").drop("_ord"), one, compress=compress)  # over the file that it is read from
+    assert [tuple(r) for r in sav.read_sav(spark, one, ordinal="_ord").collect()] == want[:1000]
+    with pytest.raises(Exception, match="has changed"):
+        got.collect()
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["1.sav", "n.sav"]
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_system_files_that_end_early(spark, tmp_path, compress):
+    path = tmp_path / "e.sav"
+    sav.write_sav(spark.createDataFrame([(0.5, "abcdefghi"), (1.5, "jklmnopqr")], "a double, s string"), path, compress=compress)
+    raw = path.read_bytes()
+    path.write_bytes(raw[:-8])
+    with pytest.raises(ValueError, match="inside a case"):
+        sav.read_sav(spark, path)
+    if compress:  # what follows the end of the cases is left out
+        path.write_bytes(raw + b"\xfd" * 16)
+        assert rows(sav.read_sav(spark, path), "a") == [(0.5, "abcdefghi"), (1.5, "jklmnopqr")]
+    else:
+        path.write_bytes(raw[:-24])
+        assert rows(sav.read_sav(spark, path)) == [(0.5, "abcdefghi")]
+
+
 def put(path, text):
     path.write_text(text)
     return str(path)
