@@ -9,7 +9,8 @@ from __future__ import annotations
 import json
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,18 +156,20 @@ oracle(
 )
 
 
-def _workbook(path: Path, rows: list[list[str]]) -> Path:
+def _workbook(path: Path, rows: Iterable[list[str]]) -> Path:
     cell = lambda i, n, x: f'<c r="{"ABC"[i]}{n}" t="inlineStr"><is><t>{x}</t></is></c>'
-    body = "".join("<row>" + "".join(cell(i, n, x) for i, x in enumerate(r)) + "</row>" for n, r in enumerate(rows, start=1))
-    with zipfile.ZipFile(path, "w") as z:
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="u"><sheetData>{body}</sheetData></worksheet>')
+    with zipfile.ZipFile(path, "w") as z, z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as f:
+        f.write(b'<worksheet xmlns="u"><sheetData>')
+        for n, r in enumerate(rows, start=1):
+            f.write(("<row>" + "".join(cell(i, n, x) for i, x in enumerate(r)) + "</row>").encode())
+        f.write(b"</sheetData></worksheet>")
     return path
 
 
 @query
 def workbook_crosswalk(spark, d):
-    keys = [r[0] for r in table(spark, d, "customer").select("c_custkey").orderBy("c_custkey").collect()]
-    path = _workbook(scratch(spark) / "crosswalk.xlsx", [list(link.CROSSWALK), *[[f" Cur {k}", f"H{k} ", f"P{k}"] for k in keys]])
+    keys = (r[0] for r in table(spark, d, "customer").select("c_custkey").orderBy("c_custkey").toLocalIterator(prefetchPartitions=True))
+    path = _workbook(scratch(spark) / "crosswalk.xlsx", chain([list(link.CROSSWALK)], ([f" Cur {k}", f"H{k} ", f"P{k}"] for k in keys)))
     return files.read_crosswalk(spark, path).toDF("current_id", "hid", "original_id")
 
 

@@ -1,6 +1,7 @@
 """Readers and writers of survey files: text tables, headers, mappings, workbooks, JSON and fingerprints.
 
-Tables are read by Spark; headers, workbooks and programs, which are small by nature, on the driver. Artifacts of the
+Tables are read by Spark, a crosswalk's workbook by one task as a stream; headers, mappings and programs, which are small
+by nature, on the driver. Artifacts of the
 pipeline are single files with a fixed byte layout, streamed from the executors partition by partition.
 """
 
@@ -17,6 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 from panelloom.functions.scalars import text
 from panelloom.operators.link import CROSSWALK, check_crosswalk
 from panelloom.operators.rules import quoted
+from panelloom.session import shared_checkpoints
 
 #: Name of the column that counts a file's rows from 0.
 ORDINAL = "_ord"
@@ -86,14 +89,6 @@ def read_mapping(path: str | Path, *, required: Iterable[str] = MAPPING_FIELDS)
         return [dict(r) for r in csv.DictReader(f)]
 
 
-def _xml(archive: zipfile.ZipFile, name: str) -> ElementTree.Element | None:
-    return ElementTree.fromstring(archive.read(name)) if name in archive.namelist() else None
-
-
-def _texts(node: ElementTree.Element) -> str:
-    return "".join(t.text or "" for t in node.iter() if t.tag.endswith("}t") or t.tag == "t")
-
-
 def column_index(cell: str) -> int:
     """0-based column of a cell's reference such as AB12."""
     n = 0
@@ -102,35 +97,101 @@ def column_index(cell: str) -> int:
     return n - 1
 
 
+class _Cells:
+    """What an XML parser calls: takes the rows of cells of a worksheet, and the texts of shared strings, as they end."""
+
+    def __init__(self, shared: list[str]):
+        self.shared, self.rows, self.open, self.into = shared, [], [], None
+        self.cells: dict[int, str] = {}
+        self.cell: dict[str, str] = {}
+        self.value: list[str] | None = None
+        self.texts: list[str] = []
+
+    def start(self, tag: str, attributes: dict[str, str]) -> None:
+        name, above = tag.rpartition("}")[2], self.open[-1] if self.open else ""
+        self.open.append(name)
+        self.into = None
+        if name == "row":
+            self.cells = {}
+        elif name == "c" and above == "row":
+            self.cell, self.value, self.texts = attributes, None, []
+        elif name == "v" and above == "c" and self.value is None:
+            self.into = self.value = []
+        elif name == "t":
+            self.into = self.texts
+        elif name == "si":
+            self.texts = []
+
+    def data(self, text: str) -> None:
+        if self.into is not None:
+            self.into.append(text)
+
+    def end(self, tag: str) -> None:
+        name = self.open.pop()
+        self.into = None
+        if name == "c" and self.open[-1:] == ["row"]:
+            kind, value = self.cell.get("t"), "".join(self.value or ())
+            shown = "".join(self.texts) if kind == "inlineStr" else self.shared[int(value)] if kind == "s" and value else value
+            self.cells[column_index(self.cell.get("r", "A1"))] = shown.strip()
+        elif name == "row":
+            self.rows.append([self.cells.get(i, "") for i in range(max(self.cells, default=-1) + 1)])
+        elif name == "si" and len(self.open) == 1:
+            self.shared.append("".join(self.texts))
+
+
+def worksheet_rows(path: str | Path) -> Iterator[list[str]]:
+    """Rows of a workbook's first sheet as stripped texts up to their last cell, read as a stream."""
+    shared: list[str] = []
+    with zipfile.ZipFile(path) as z:
+        for name in ("xl/sharedStrings.xml", "xl/worksheets/sheet1.xml"):
+            if name not in z.namelist():
+                continue
+            found = _Cells(shared)
+            parser = ElementTree.XMLParser(target=found)
+            with z.open(name) as f:
+                while raw := f.read(1 << 16):
+                    parser.feed(raw)
+                    yield from found.rows
+                    found.rows = []
+            parser.close()
+
+
 def read_worksheet(path: str | Path) -> list[list[str]]:
     """Rows of a workbook's first sheet as stripped texts, all of the same length; numbers stay as they are written."""
-    local = lambda e: e.tag.rpartition("}")[2]
-    with zipfile.ZipFile(path) as z:
-        strings = _xml(z, "xl/sharedStrings.xml")
-        shared = [_texts(n) for n in strings if local(n) == "si"] if strings is not None else []
-        sheet = _xml(z, "xl/worksheets/sheet1.xml")
-    rows = []
-    for row in (e for e in (sheet.iter() if sheet is not None else ()) if local(e) == "row"):
-        cells: dict[int, str] = {}
-        for c in (e for e in row if local(e) == "c"):
-            value = next((e.text or "" for e in c if local(e) == "v"), "")
-            kind = c.get("t")
-            shown = _texts(c) if kind == "inlineStr" else shared[int(value)] if kind == "s" and value else value
-            cells[column_index(c.get("r", "A1"))] = shown.strip()
-        rows.append([cells.get(i, "") for i in range(max(cells, default=-1) + 1)])
+    rows = list(worksheet_rows(path))
     width = max(map(len, rows), default=0)
     return [r + [""] * (width - len(r)) for r in rows]
 
 
 def read_crosswalk(spark: SparkSession, path: str | Path) -> DataFrame:
-    """The crosswalk of a workbook: three checked text columns."""
-    rows = read_worksheet(path)
-    if not rows:
+    """The crosswalk of a workbook: three checked text columns. A task reads it where it lies; its rows are checkpointed."""
+    place = str(Path(path).absolute())
+    head = next(worksheet_rows(place), None)
+    if head is None:
         raise ValueError("The crosswalk workbook has no rows.")
-    head, body = rows[0], [r for r in rows[1:] if any(r)]
+
+    def unexpected(width: int) -> ValueError:
+        return ValueError(f"Unexpected crosswalk columns: {head + [''] * (width - len(head))}")
+
     if tuple(head) != CROSSWALK:
-        raise ValueError(f"Unexpected crosswalk columns: {head}")
-    df = spark.createDataFrame(body, T.StructType([T.StructField(h, T.StringType()) for h in head]))
+        raise unexpected(max(map(len, worksheet_rows(place))))
+    names = ["_width", *CROSSWALK]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in (i for b in batches for i in range(b.num_rows)):
+            rows = worksheet_rows(place)
+            next(rows)
+            for some in batched(rows, 10_000):
+                cells = [pa.array([r[i] if i < len(r) else "" for r in some], pa.string()) for i in range(len(CROSSWALK))]
+                yield pa.RecordBatch.from_arrays([pa.array([len(r) for r in some], pa.int32()), *cells], names=names)
+
+    shared_checkpoints(spark)
+    schema = T.StructType([T.StructField("_width", T.IntegerType()), *[T.StructField(h, T.StringType()) for h in CROSSWALK]])
+    df = spark.range(0, 1, 1, 1).mapInArrow(run, schema).checkpoint()
+    width = df.agg(F.max("_width")).first()[0] or 0
+    if width > len(CROSSWALK):
+        raise unexpected(width)
+    df = df.drop("_width").where(F.concat(*map(F.col, map(quoted, CROSSWALK))) != "")
     check_crosswalk(df)
     return df.select(*[text(c).alias(c) for c in CROSSWALK])
 

@@ -1,4 +1,5 @@
 import json
+import tracemalloc
 import zipfile
 
 import pytest
@@ -36,6 +37,27 @@ def test_workbooks(spark, tmp_path):
         files.read_crosswalk(spark, workbook(tmp_path / "d.xlsx", inline(["a", "b", "c"])))
 
 
+def test_large_workbooks_are_streams(spark, tmp_path):
+    n = 30_000
+    big = workbook(tmp_path / "big.xlsx", inline(HEADS, *[[f"c{i} ", f"h{i}", f" o{i}"] for i in range(n)]))
+    tracemalloc.start()
+    try:
+        assert sum(1 for _ in files.worksheet_rows(big)) == n + 1
+        assert tracemalloc.get_traced_memory()[1] < 3 << 20
+        tracemalloc.reset_peak()
+        got = files.read_crosswalk(spark, big)
+        assert tracemalloc.get_traced_memory()[1] < 3 << 20
+    finally:
+        tracemalloc.stop()
+    assert rows(got) == sorted((f"c{i}", f"h{i}", f"o{i}") for i in range(n))
+    # A row beyond the crosswalk's columns is an error wherever it lies; runs of a text count, what they enclose doesn't.
+    for wide in (["c", "h", "o"], ["", "", ""]):
+        with pytest.raises(ValueError, match=r"Unexpected crosswalk columns: \['ID March 2026', 'HIDBrokerPanelId', 'ORIGINAL ID', ''\]"):
+            files.read_crosswalk(spark, workbook(tmp_path / "w.xlsx", inline(HEADS, ["a", "b", "d"], wide).removesuffix("</row>") + '<c r="D3"><v> </v></c></row>'))
+    parts = '<row><c r="A1" t="inlineStr"><is><r><t>x</t></r><r><t> y<z>no</z>no</t></r></is></c><c r="B1" t="s"><f>no</f><v>1</v><v>0</v></c></row>'
+    assert files.read_worksheet(workbook(tmp_path / "p.xlsx", parts, ["first", "second"])) == [["x y", "second"]]
+
+
 def test_text_tables(spark, tmp_path):
     p = tmp_path / "t.csv"
     p.write_bytes('﻿A,"b c"\r\n1,"x ""y"", \nz"\r\n\r\nNA\r\n'.encode())
